@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from sedimenta.llm.common import OUT_ROWS, stored, text_or_empty
 
 #: Words of the documents of one chunk (or one longer document).
-CHUNK_WORDS = 500_000
+CHUNK_WORDS = 1_000_000
 #: N-gram entries that one hash partition gets on average.
 PARTITION_KEYS = 2_000_000
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -72,7 +72,7 @@ def chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
             vocab = np.fromiter((max(1, xxhash.xxh3_64_intdigest(w)) for w in seen), np.uint64, len(seen))
             flat = np.concatenate(kept) if kept else np.zeros(0, np.uint32)
             known = np.array([(i is not None, i or 0) for i in ids], "<i8")
-            row = ((part << 32) + made, total, known.tobytes(), np.array(sizes, "<i8").tobytes(), vocab.tobytes(), zlib.compress(flat.astype("<u4").tobytes(), 1))
+            row = ((part << 32) + made, total, known.tobytes(), np.array(sizes, "<i8").tobytes(), vocab.tobytes(), pack_small(flat))
             return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], CHUNK.names)
 
         for b in batches:
@@ -94,21 +94,47 @@ def chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
 def _grams(sizes: bytes, vocab: bytes, words: bytes, order: int, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """The words of each document, and the n-grams' hashes cut to their top bits; 0 stays 0 and nothing else is 0."""
     docs = np.frombuffer(sizes, "<i8")
-    flat = np.frombuffer(vocab, np.uint64)[np.frombuffer(zlib.decompress(words), "<u4")]
+    flat = np.frombuffer(vocab, np.uint64)[unpack_small(words)]
     return docs, [np.where(g > 0, np.maximum(g >> np.uint64(64 - bits), np.uint64(1)), np.uint64(0)) for g in ngrams(flat, docs, order)]
 
 
+def _planes(values: np.ndarray, width: int) -> np.ndarray:
+    """Row k holds byte k of all values."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+
+
+def _width(values: np.ndarray) -> int:
+    return (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+
+
+def pack_small(values: np.ndarray) -> bytes:
+    """Numbers by byte planes: the low bytes of all, then the next ones, which repeat and compress."""
+    width = _width(values)
+    return len(values).to_bytes(8, "little") + bytes([width]) + zlib.compress(_planes(values, width).tobytes(), 1)
+
+
+def unpack_small(data: bytes) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), data[8]
+    out = np.zeros((n, 8), np.uint8)
+    if n and width:
+        out[:, :width] = np.frombuffer(zlib.decompress(data[9:]), np.uint8).reshape(width, n).T
+    return out.view("<i8").ravel()
+
+
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys as their steps, byte by byte: the first of all, then the second ..., so that rows of zeros leave nothing in a compressed shuffle."""
+    """Sorted keys as their steps, by byte planes; the lower ones are noise, the highest is mostly small and is compressed."""
     steps = np.diff(keys)
-    width = (int(steps.max()).bit_length() + 7) // 8 if len(steps) else 0
-    return bytes([width]) + keys[:1].astype("<u8").tobytes() + np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    width = _width(steps)
+    rows = _planes(steps, width)
+    return bytes([width]) + keys[:1].astype("<u8").tobytes() + rows[:-1].tobytes() + (zlib.compress(rows[-1].tobytes(), 1) if width else b"")
 
 
 def unpack_keys(data: bytes, n: int) -> np.ndarray:
     steps = np.zeros((n, 8), np.uint8)
     if n > 1 and data[0]:
-        steps[1:, : data[0]] = np.frombuffer(data, np.uint8, offset=9).reshape(data[0], n - 1).T
+        low = 9 + (data[0] - 1) * (n - 1)
+        steps[1:, : data[0] - 1] = np.frombuffer(data[9:low], np.uint8).reshape(data[0] - 1, n - 1).T
+        steps[1:, data[0] - 1] = np.frombuffer(zlib.decompress(data[low:]), np.uint8)
     out = steps.view("<u8").ravel()
     out[0] = np.frombuffer(data, "<u8", 1, 1)[0]
     return np.cumsum(out, dtype=np.uint64)
@@ -121,15 +147,6 @@ def _distinct(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return flat[head], np.diff(np.append(head, len(flat)))
 
 
-def _pack(values: np.ndarray) -> bytes:
-    return zlib.compress(values.astype("<u4").tobytes() if not len(values) or values.max() < 2**32 else b"8" + values.astype("<u8").tobytes(), 1)
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    raw = zlib.decompress(data)
-    return np.frombuffer(raw, "<u4").astype(np.int64) if len(raw) % 4 == 0 else np.frombuffer(raw, "<u8", offset=1).astype(np.int64)
-
-
 BLOCK = T.StructType([T.StructField("hp", T.LongType()), T.StructField("chunk", T.LongType()), T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 TOTAL = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("hp", T.LongType()), T.StructField("totals", T.BinaryType())])
 
@@ -143,7 +160,7 @@ def blocks(packed: DataFrame, order: int, partitions: int, bits: int) -> DataFra
                 keys, counts = _distinct(_grams(sizes, vocab, words, order, bits)[1])
                 hp = hash_partitions(keys, partitions, bits)
                 edge = np.flatnonzero(np.concatenate([[True], hp[1:] != hp[:-1], [True]])) if len(hp) else np.zeros(1, np.int64)
-                rows = [(int(hp[a]), chunk, pack_keys(keys[a:z]), _pack(counts[a:z])) for a, z in zip(edge[:-1], edge[1:], strict=True)]
+                rows = [(int(hp[a]), chunk, pack_keys(keys[a:z]), pack_small(counts[a:z])) for a, z in zip(edge[:-1], edge[1:], strict=True)]
                 for k in range(0, len(rows), OUT_ROWS):
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[k : k + OUT_ROWS], strict=True)], BLOCK.names)
 
@@ -154,7 +171,7 @@ def totals(made: DataFrame) -> DataFrame:
     """Count tables by hash partition, joined to the blocks they came from: the corpus count of each n-gram of a block."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        counts = [_unpack(x) for x in table.column("counts").to_pylist()]
+        counts = [unpack_small(x) for x in table.column("counts").to_pylist()]
         sizes = [len(c) for c in counts]
         keys, counts = [unpack_keys(x, n) for x, n in zip(table.column("keys").to_pylist(), sizes, strict=True)], np.concatenate(counts)
         flat = np.concatenate(keys)
@@ -165,7 +182,7 @@ def totals(made: DataFrame) -> DataFrame:
         back = np.empty(len(flat), np.int64)
         back[order] = np.repeat(sums, np.diff(np.append(head, len(flat))))
         at = np.concatenate([[0], np.cumsum(sizes)])
-        out = [_pack(back[a:z]) for a, z in zip(at[:-1], at[1:], strict=True)]
+        out = [pack_small(back[a:z]) for a, z in zip(at[:-1], at[1:], strict=True)]
         return pa.table({"chunk": table.column("chunk"), "hp": table.column("hp"), "totals": pa.array(out, pa.binary())})
 
     return made.groupBy("hp").applyInArrow(run, TOTAL)
@@ -181,13 +198,13 @@ def score(df: DataFrame, order: int = 3, backoff: float = 0.4, least: int = 2, i
     packed = stored(chunks(df, id_col, text_col, chunk_words), "chunks")
     words, n_chunks = packed.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count(F.lit(1))).first()
     partitions = max(1, math.ceil(words * order / partition_keys), min(64, n_chunks))
-    # So many bits tell n-grams apart but for one in 2^24 or fewer.
-    bits = min(64, max(40, math.ceil(math.log2(max(2, words * order))) + 24))
+    # So many bits tell n-grams apart but for one in 2^16 or fewer.
+    bits = min(64, max(40, math.ceil(math.log2(max(2, words * order))) + 16))
     back = totals(blocks(packed, order, partitions, bits))
 
     def run(key: tuple, chunk: pa.Table, found: pa.Table) -> pa.Table:
         found = found.sort_by("hp")
-        total = np.concatenate([np.zeros(0, np.int64), *(_unpack(x) for x in found.column("totals").to_pylist())])
+        total = np.concatenate([np.zeros(0, np.int64), *(unpack_small(x) for x in found.column("totals").to_pylist())])
         row = {k: chunk.column(k)[0].as_py() for k in ("ids", "sizes", "vocab", "words")}
         docs, grams = _grams(row["sizes"], row["vocab"], row["words"], order, bits)
         keys, _ = _distinct(grams)
