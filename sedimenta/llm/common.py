@@ -2,40 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.sources.places import shared_dir, shared_path
+
 #: Rows of one Arrow batch that leaves a Python worker.
 OUT_ROWS = 4096
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset (tests on one machine) a temporary folder, which is then set as the session's."""
-    conf = spark.sparkContext.getConf()
-    if conf.get("spark.checkpoint.dir"):
-        return conf.get("spark.checkpoint.dir").rstrip("/")
-    own = spark.conf.get("spark.sedimenta.shared.dir", None)
-    if own is None:
-        own = tempfile.mkdtemp(prefix="sedimenta-")
-        spark.conf.set("spark.sedimenta.shared.dir", own)
-        spark.sparkContext.setCheckpointDir(own)
-    return own
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; Hadoop removes it when the application ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors, and is read by column."""
     spark = df.sparkSession
