@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
 #: Chunks that one Python worker remembers, in two generations.
-REMEMBERED = 900_000
+REMEMBERED = 500_000
 #: Longest chunk that is remembered; longer ones (no space for thousands of characters) are encoded each time.
 LONG_CHUNK = 256
 #: White space as the library's pattern knows it (Unicode White_Space).
@@ -65,6 +65,7 @@ class Codec:
         self.young: dict = Memory(self)
         self.pattern, self.ascii = PATTERNS[self.kind]
         self.stop = re.compile("|".join(map(re.escape, self.specials))) if self.specials else None
+        del self.spec  # tens of thousands of small objects that nothing needs from here on
 
     def _kind(self) -> str:
         """The two layouts whose pieces are known here; other tokenizers go to the library whole."""
