@@ -162,18 +162,27 @@ def near_links(prints: DataFrame, radius: int = 2, blocks: int = 4, most: int =
 
 def _split(rows: DataFrame, radius: int) -> DataFrame:
     """Every fingerprint of a large bucket to radius + 1 smaller ones: the bucket's bits and one more block of the others. Two within the radius differ in at
-    most `radius` of the blocks, so they meet in one at least. Masks are few, one plan each is made on the driver."""
-    masks = [r[0] for r in rows.select("mask").distinct().collect()]  # at most the number of block choices so far
-    out = None
-    for mask in masks:
-        free = ~mask & (2**BITS - 1)
-        parts = [p for p in _blocks(free, radius + 1) if p]
-        if not parts:  # all bits are in the key: equal values only, which were collapsed
-            continue
-        more = F.array(*(F.struct(F.lit(k).alias("t"), F.col("f").bitwiseAND(F.lit(_signed(p))).alias("key"), F.lit(_signed((mask & (2**BITS - 1)) | p)).alias("mask")) for k, p in enumerate(parts)))
-        one = rows.where(F.col("mask") == mask).select("f", "id", "bucket", F.explode(more).alias("x")).select("f", "id", F.xxhash64("bucket", "x.t", "x.key").alias("bucket"), "x.mask")
-        out = one if out is None else out.union(one)
-    return out
+    most `radius` of the blocks, so they meet in one at least. Where all bits are in the key only equal values would meet, and those were collapsed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, list[int]] = {}
+        for b in batches:
+            f, ids, bucket, mask = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            for m in np.unique(mask).tolist():
+                own = m & (2**BITS - 1)
+                at = np.flatnonzero(mask == m)
+                for k, p in enumerate(parts.setdefault(own, _blocks(2**BITS - 1 & ~own, radius + 1))):
+                    if p:
+                        key = _scramble(bucket[at].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + _scramble((f[at].view(np.uint64) & np.uint64(p)) + np.uint64(k)))
+                        yield pa.RecordBatch.from_arrays([pa.array(f[at]), pa.array(ids[at]), pa.array(key.view(np.int64)), pa.array(np.full(len(at), _signed(own | p)))], ["f", "id", "bucket", "mask"])
+
+    return rows.select("f", "id", "bucket", "mask").mapInArrow(run, "f long, id long, bucket long, mask long")
+
+
+def _scramble(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 def _compared(rows: DataFrame, radius: int) -> DataFrame:
