@@ -182,7 +182,7 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
 
 def lookup(spark: SparkSession, path: str, doc_id: int, repeat: int = 0) -> list[int] | None:
     """The ids of one document: the shards whose range holds the id (pushed to the scan), then one step in each index."""
-    shards = _shards(spark, path).where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
+    shards = _shards(spark, path).where((F.col("first_id").isNull() | (F.col("first_id") <= doc_id)) & (F.col("last_id") >= doc_id))
     for r in shards.select("index", "payload").toLocalIterator():
         index, width = PerfectIndex.load(r["index"])
         if at := index.find(key_of(doc_id, repeat)):
