@@ -75,5 +75,39 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
+def _escaped(x: str) -> str:
+    return rf"regexp_replace(regexp_replace(replace({x}, '\', '\\'), '<(\||/?s>|</?SYS>>)', '<\\\1', 'g'), '\[(/?INST\])', '[\\\1', 'g')"
+
+
+_SHARDING = """
+WITH d AS (SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
+l AS (SELECT doc_id, n_bytes, h, k AS depth, h >> CAST(60 - k AS INTEGER) AS q FROM d, range(0, 31) r(k)),
+s AS (SELECT depth, q, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_docs FROM l GROUP BY ALL)
+SELECT doc_id, n_bytes, substr(lpad(bin(h), 60, '0'), 1, CAST(depth AS INTEGER)) AS shard, depth, 0::BIGINT AS page, shard_bytes, shard_docs
+FROM l JOIN s USING (depth, q) WHERE shard_bytes <= 8388608 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+"""
+_CHAT = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t) AS turns,
+  coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (r = 'assistant'), '') AS learnt, CAST(sum(24 + length({_escaped("r")}) + length({_escaped("t")})) AS BIGINT) AS formatted_chars FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(learnt) AS BIGINT) AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars FROM g
+"""
+
+
+def _hits(terms: tuple[str, ...]) -> str:
+    return " + ".join(rf"CAST(regexp_matches(low, '(^|[^\p{{L}}\p{{N}}]){t}($|[^\p{{L}}\p{{N}}])') AS INTEGER)" for t in terms)
+
+
+_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_URLS = rf"""
+WITH u AS (SELECT page_id, {_LOW.format("coalesce(url, '')")} AS low, {_LOW.format("coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1), '')")} AS host, coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+k(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+f AS (SELECT page_id, max_by(h || p, length(h || p)) AS rule, max_by(verdict, length(h || p)) AS verdict FROM u JOIN k ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT page_id, host, path, f.rule AS rule, coalesce(f.verdict, CASE WHEN {_hits(url_filter.STRICT)} > 0 OR {_hits(url_filter.SOFT)} >= 2 THEN 'block' ELSE 'allow' END) AS verdict FROM u LEFT JOIN f USING (page_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """For the queries that SQL can express; tokenizers, XXH64 and the forest can't be, and the others are tested against brute force."""
+    return {"op5_sharding": _SHARDING, "op6_chat": _CHAT, "op7_urls": _URLS}
