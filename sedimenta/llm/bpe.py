@@ -65,6 +65,7 @@ class Codec:
         self.young: dict = Memory(self)
         self.pattern, self.ascii = PATTERNS[self.kind]
         self.stop = re.compile("|".join(map(re.escape, self.specials))) if self.specials else None
+        self.same: dict[str, bool] = {}
         del self.spec  # tens of thousands of small objects that nothing needs from here on
 
     def _kind(self) -> str:
@@ -79,10 +80,23 @@ class Codec:
             return "word"
         return "other"
 
-    def _pieces(self, chunk: str) -> list[str]:
+    def _agreed(self, text: str) -> bool:
+        """Whether the library takes all characters of a text for what they are here. It knows another Unicode version: newer letters, numbers and combining
+        marks differ. It is asked once for each character beyond BEYOND."""
+        for c in set(BEYOND.findall(text)):
+            if c not in self.same:
+                if self.kind == "byte":
+                    self.same[c] = all(len(self.library.pre_tokenizer.pre_tokenize_str(x + c)) == len(self.pattern.findall(x + c)) for x in "a1!")
+                else:  # moved by a mark of the lowest class behind it, or before one of the highest
+                    self.same[c] = all(self.library.normalizer.normalize_str(x) == normal(x) for x in (c, f"a{c}\u0334", f"a\u0345{c}"))
+            if not self.same[c]:
+                return False
+        return True
+
+    def _pieces(self, chunk: str, beyond: bool) -> list[str]:
         """The pre-tokens of a chunk: the two most common shapes at once, the others by the pattern."""
         word = chunk[1:] if chunk[:1] == " " else chunk
-        if not BEYOND.search(chunk):
+        if not beyond:
             if word.isalpha():
                 return [chunk]
             if word[:-1].isalpha() and word[-1] in ",.;:!?":
@@ -90,10 +104,11 @@ class Codec:
         return (self.ascii if chunk.isascii() else self.pattern).findall(chunk)
 
     def chunk(self, chunk: str) -> bytes:
-        if self.kind == "word" and BEYOND.search(chunk):  # letters on which Unicode versions disagree
-            return array(self.letter, self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
+        if (beyond := BEYOND.search(chunk)) and (self.kind == "word" or not self._agreed(chunk)):
+            # Not encode(): a text that is in normal form already would be normalized again, and lower case may compose further.
+            return array(self.letter, [t.id for p, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk) for t in self.model.tokenize(p)]).tobytes()
         out: list[int] = []
-        for p in self._pieces(chunk):
+        for p in self._pieces(chunk, beyond is not None):
             i = self.whole.get(p)
             out += self.merge(p) if i is None else (i,)
         return array(self.letter, out).tobytes()
@@ -114,7 +129,8 @@ class Codec:
         if not text:
             return b""
         if self.kind == "word":
-            return b"".join(map(self.young.__getitem__, normal(text).split(" ")))
+            known = text.isascii() or self._agreed(text)
+            return b"".join(map(self.young.__getitem__, (normal(text) if known else self.library.normalizer.normalize_str(text)).split(" ")))
         first, *rest = CUT.split(text) if ODD_SPACE.search(text) else text.split(" ")
         return b"".join([self.chunk(first), *map(self.young.__getitem__, rest)])
 

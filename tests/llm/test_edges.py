@@ -37,6 +37,18 @@ def same(got, want):
     assert sorted(got, key=lambda r: str(r)) == sorted(want, key=lambda r: str(r))
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_token_ids_are_the_library_s(path):
+    """Letters and combining marks that the library's Unicode version doesn't know, and normal forms that lower case opens again."""
+    with open(path, encoding="utf-8") as f:
+        codec = bpe.Codec(f.read())
+    rng, points = random.Random(5), [x for x in range(1, 0x20000) if not 0xD800 <= x <= 0xDFFF]
+    odd = ["\U00018e22's", "\U0001df33's", "\u08cd\u0327", "\u0301\U000119e0", "\u1ffc\u0301\U000e0efb", "ΑΣ ΑΣ\u0301", "\u180e a\u180eb", "\u200b \ufeff", "Ⅷ²½ 9"]
+    texts = odd + ["".join(chr(rng.choice(points)) if rng.random() < 0.5 else rng.choice("aeé \u0327\u0301\n12'sΣ  ,") for _ in range(20)) for _ in range(5000)]
+    want = codec.library.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(codec.ids(t), "<u4").tolist() for t in texts] == [e.ids for e in want]
+
+
 def test_token_counts(docs, none):
     got = [(r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in token_counts.token_counts(docs, BYTE).collect()]
     same(got, [(i, len((t or "").encode()), n := len(brute.ids("byte_bpe_50k.json", t)), n > 512) for i, t in ROWS])
