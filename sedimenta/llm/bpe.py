@@ -24,6 +24,8 @@ from tokenizers import Tokenizer
 REMEMBERED = 500_000
 #: Longest chunk that is remembered; longer ones (no space for thousands of characters) are encoded each time.
 LONG_CHUNK = 256
+#: Marks that often end a word; each is a pre-token there.
+ENDS = ",.;:!?"
 #: White space as the library's pattern knows it (Unicode White_Space).
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
 
@@ -62,8 +64,8 @@ class Codec:
         self.letter = {"<u4": "I", "<u2": "H"}[dtype]
         self.whole = whole_tokens(self.library, self.spec, self.kind)
         self.merge = merges(self.library, self.spec, self.kind)
-        self.young: dict = Memory(self)
         self.pattern, self.ascii = PATTERNS[self.kind]
+        self.young: dict = Memory(self)
         self.stop = re.compile("|".join(map(re.escape, self.specials))) if self.specials else None
         self.same: dict[str, bool] = {}
         del self.spec  # tens of thousands of small objects that nothing needs from here on
@@ -93,22 +95,17 @@ class Codec:
                 return False
         return True
 
-    def _pieces(self, chunk: str, beyond: bool) -> list[str]:
-        """The pre-tokens of a chunk: the two most common shapes at once, the others by the pattern."""
-        word = chunk[1:] if chunk[:1] == " " else chunk
-        if not beyond:
-            if word.isalpha():
-                return [chunk]
-            if word[:-1].isalpha() and word[-1] in ",.;:!?":
-                return [chunk[:-1], word[-1]]
-        return (self.ascii if chunk.isascii() else self.pattern).findall(chunk)
+    def word(self, piece: str) -> bytes:
+        """A pre-token."""
+        i = self.whole.get(piece)
+        return array(self.letter, self.merge(piece) if i is None else (i,)).tobytes()
 
     def chunk(self, chunk: str) -> bytes:
-        if (beyond := BEYOND.search(chunk)) and (self.kind == "word" or not self._agreed(chunk)):
+        if not chunk.isascii() and BEYOND.search(chunk) and (self.kind == "word" or not self._agreed(chunk)):
             # Not encode(): a text that is in normal form already would be normalized again, and lower case may compose further.
             return array(self.letter, [t.id for p, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk) for t in self.model.tokenize(p)]).tobytes()
         out: list[int] = []
-        for p in self._pieces(chunk, beyond is not None):
+        for p in (self.ascii if chunk.isascii() else self.pattern).findall(chunk):
             i = self.whole.get(p)
             out += self.merge(p) if i is None else (i,)
         return array(self.letter, out).tobytes()
@@ -129,8 +126,10 @@ class Codec:
         if not text:
             return b""
         if self.kind == "word":
-            known = text.isascii() or self._agreed(text)
-            return b"".join(map(self.young.__getitem__, (normal(text) if known else self.library.normalizer.normalize_str(text)).split(" ")))
+            if not text.isascii() and not self._agreed(text):
+                return b"".join(map(self.young.__getitem__, self.library.normalizer.normalize_str(text).split(" ")))
+            text = folded(text)
+            return b"".join(map(self.young.__getitem__, RUN.sub(" ", text).split(" ") if MORE_SPACE.search(text) else text.split()))
         first, *rest = CUT.split(text) if ODD_SPACE.search(text) else text.split(" ")
         return b"".join([self.chunk(first), *map(self.young.__getitem__, rest)])
 
@@ -141,11 +140,19 @@ class Memory(dict):
     def __init__(self, codec: Codec):
         super().__init__()
         self.codec, self.old = codec, {}
+        self.space = " " if codec.kind == "byte" else ""
+        self.ends = {c: codec.word(c) for c in ENDS} if codec.kind != "other" else {}
 
     def __missing__(self, chunk: str):
         found = self.old.get(chunk)
         if found is None:
-            found = self.codec.chunk(" " + chunk if self.codec.kind == "byte" else chunk)
+            # A word, or a word and one mark: two pre-tokens that need no pattern. The word alone is often known.
+            end = self.ends.get(chunk[-1:], b"")
+            word = chunk[:-1] if end else chunk
+            if word.isalpha() and (word.isascii() or not BEYOND.search(word)):
+                found = (end and (self.get(word) or self.old.get(word)) or self.codec.word(self.space + word)) + end
+            else:
+                found = self.codec.chunk(self.space + chunk)
             if len(chunk) > LONG_CHUNK:
                 return found
         if len(self) >= REMEMBERED // 2:
@@ -169,16 +176,21 @@ BEYOND = re.compile("[\u0500-\U0010ffff]")
 ODD_SPACE = re.compile(rf" (?=[{SPACE}]|\Z)")
 CUT = re.compile(rf" (?=[^{SPACE}])")
 RUN = re.compile(rf"[{SPACE}]+")
+#: White space for `str.split`, but not for the library.
+MORE_SPACE = re.compile("[\x1c-\x1f]")
+
+
+def folded(text: str) -> str:
+    """NFC, then lower case letter by letter, as the library does it (no rule of final sigma)."""
+    if text.isascii():
+        return text.lower()
+    text = unicodedata.normalize("NFC", text)
+    return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
 
 def normal(text: str) -> str:
-    """NFC, runs of white space to one space, then lower case letter by letter, as the library does it (no rule of final sigma)."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text)
-        text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-    else:
-        text = text.lower()
-    return RUN.sub(" ", text)
+    """The library's normal form of a text: folded, runs of white space as one space."""
+    return RUN.sub(" ", folded(text))
 
 
 def whole_tokens(library: Tokenizer, spec: dict, kind: str) -> dict[str, int]:

@@ -43,7 +43,7 @@ def test_token_ids_are_the_library_s(path):
     with open(path, encoding="utf-8") as f:
         codec = bpe.Codec(f.read())
     rng, points = random.Random(5), [x for x in range(1, 0x20000) if not 0xD800 <= x <= 0xDFFF]
-    odd = ["\U00018e22's", "\U0001df33's", "\u08cd\u0327", "\u0301\U000119e0", "\u1ffc\u0301\U000e0efb", "ΑΣ ΑΣ\u0301", "\u180e a\u180eb", "\u200b \ufeff", "Ⅷ²½ 9"]
+    odd = ["\U00018e22's", "\U0001df33's", "\u08cd\u0327", "\u0301\U000119e0", "\u1ffc\u0301\U000e0efb", "ΑΣ ΑΣ\u0301", "\u180e a\u180eb", "\u200b \ufeff", "Ⅷ²½ 9", "a\x1cb \x1f c", "\x1d", *(f"a{chr(x)}b {chr(x)} c" for x in range(0x3001) if chr(x).isspace())]
     texts = odd + ["".join(chr(rng.choice(points)) if rng.random() < 0.5 else rng.choice("aeé \u0327\u0301\n12'sΣ  ,") for _ in range(20)) for _ in range(5000)]
     want = codec.library.encode_batch(texts, add_special_tokens=False)
     assert [np.frombuffer(codec.ids(t), "<u4").tolist() for t in texts] == [e.ids for e in want]
