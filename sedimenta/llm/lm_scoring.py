@@ -2,7 +2,7 @@
 
 Relations in blocks: a row of a block table holds the n-grams of one chunk of documents that fall into one hash partition, as sorted hashes with their counts
 in the chunk. Counting groups the blocks by hash partition and sums equal n-grams; the join sends each block's totals back to its chunk; the
-sums run per document. So every n-gram crosses the network once and its total once, in about 5 and 1 bytes, a frequent n-gram costs one entry a
+sums run per document. So every n-gram crosses the network once and its total once, in about 7 and 1 bytes, a frequent n-gram costs one entry a
 chunk, and the work is in sorted arrays. Where blocks get small (very many chunks) they become single rows, never more than an exploded table has."""
 
 from __future__ import annotations
@@ -51,10 +51,9 @@ def ngrams(words: np.ndarray, docs: np.ndarray, order: int) -> list[np.ndarray]:
     return out
 
 
-def hash_partitions(keys: np.ndarray, n: int, bits: int) -> np.ndarray:
+def hash_partitions(keys: np.ndarray, n: int) -> np.ndarray:
     """0..n-1, rising with the key."""
-    high = keys >> np.uint64(max(0, bits - 32)) << np.uint64(max(0, 32 - bits))
-    return (high * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+    return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
 CHUNK = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("n_words", T.LongType()), *(T.StructField(x, T.BinaryType()) for x in ("ids", "sizes", "vocab", "words"))])
@@ -91,11 +90,11 @@ def chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     return rows.mapInArrow(run, CHUNK)
 
 
-def _grams(sizes: bytes, vocab: bytes, words: bytes, order: int, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The words of each document, and the n-grams' hashes cut to their top bits; 0 stays 0 and nothing else is 0."""
+def _grams(sizes: bytes, vocab: bytes, words: bytes, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The words of each document, and the n-grams' hashes."""
     docs = np.frombuffer(sizes, "<i8")
     flat = np.frombuffer(vocab, np.uint64)[unpack_small(words)]
-    return docs, [np.where(g > 0, np.maximum(g >> np.uint64(64 - bits), np.uint64(1)), np.uint64(0)) for g in ngrams(flat, docs, order)]
+    return docs, ngrams(flat, docs, order)
 
 
 def _planes(values: np.ndarray, width: int) -> np.ndarray:
@@ -151,14 +150,14 @@ BLOCK = T.StructType([T.StructField("hp", T.LongType()), T.StructField("chunk",
 TOTAL = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("hp", T.LongType()), T.StructField("totals", T.BinaryType())])
 
 
-def blocks(packed: DataFrame, order: int, partitions: int, bits: int) -> DataFrame:
+def blocks(packed: DataFrame, order: int, partitions: int) -> DataFrame:
     """The exploded n-grams of each chunk, pre-aggregated, one row for each hash partition they fall into."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for chunk, sizes, vocab, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                keys, counts = _distinct(_grams(sizes, vocab, words, order, bits)[1])
-                hp = hash_partitions(keys, partitions, bits)
+                keys, counts = _distinct(_grams(sizes, vocab, words, order)[1])
+                hp = hash_partitions(keys, partitions)
                 edge = np.flatnonzero(np.concatenate([[True], hp[1:] != hp[:-1], [True]])) if len(hp) else np.zeros(1, np.int64)
                 rows = [(int(hp[a]), chunk, pack_keys(keys[a:z]), pack_small(counts[a:z])) for a, z in zip(edge[:-1], edge[1:], strict=True)]
                 for k in range(0, len(rows), OUT_ROWS):
@@ -193,20 +192,18 @@ def score(df: DataFrame, order: int = 3, backoff: float = 0.4, least: int = 2, i
 
     S of a word after its context: count(n-gram) / count(context) for the longest n-gram up to `order` within the document that occurs at least `least`
     times in df; each shorter context multiplies by `backoff`; a word alone has count / number of words, and is never pruned. Counts are of the whole
-    table, the document itself included. n-grams are told apart by hashes of up to 64 bits. Null and empty texts have no words and log_score 0. Null and repeated
+    table, the document itself included. n-grams are told apart by hashes of 64 bits. Null and empty texts have no words and log_score 0. Null and repeated
     ids keep one row each. An empty table gives an empty result."""
     packed = stored(chunks(df, id_col, text_col, chunk_words), "chunks")
     words, n_chunks = packed.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count(F.lit(1))).first()
     partitions = max(1, math.ceil(words * order / partition_keys), min(64, n_chunks))
-    # So many bits tell n-grams apart but for one in 2^16 or fewer.
-    bits = min(64, max(40, math.ceil(math.log2(max(2, words * order))) + 16))
-    back = totals(blocks(packed, order, partitions, bits))
+    back = totals(blocks(packed, order, partitions))
 
     def run(key: tuple, chunk: pa.Table, found: pa.Table) -> pa.Table:
         found = found.sort_by("hp")
         total = np.concatenate([np.zeros(0, np.int64), *(unpack_small(x) for x in found.column("totals").to_pylist())])
         row = {k: chunk.column(k)[0].as_py() for k in ("ids", "sizes", "vocab", "words")}
-        docs, grams = _grams(row["sizes"], row["vocab"], row["words"], order, bits)
+        docs, grams = _grams(row["sizes"], row["vocab"], row["words"], order)
         keys, _ = _distinct(grams)
         seen = []
         for n, g in enumerate(grams):
