@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import common, decontamination, packing, quality, simhash
+from sedimenta.llm import common, decontamination, near_copies, packing, quality
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of fingerprints that link, the one with the smallest id. Documents without an id can't be named and stay."""
-    return simhash.one_of_each(docs)
+    """One document of each group that five-word shingles of similarity 0.8 or more link, the one with the smallest id. Documents without an id can't be named and stay."""
+    return near_copies.one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -248,6 +248,14 @@ def near_duplicates(df: DataFrame, radius: int = 2, words: int = 3, id_col: str
     return docs.join(named, "f").select(F.col("id").alias(id_col), hex16(F.col("f")).alias("fingerprint"), "component_id")
 
 
+def keep_one(df: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """members (id, h: XXH64 of the text, component): one row of df for each component with ids, with its smallest id; rows with a null id stay."""
+    first = members.where(F.col("id").isNotNull()).groupBy("component").agg(F.min(F.struct("id", "h")).alias("x")).select(F.col("x.id").alias("_id"), F.col("x.h").alias("_h"))
+    named = df.where(F.col(id_col).isNotNull()).withColumn("_text", F.xxhash64(text_or_empty(text_col)))
+    kept = named.join(first, (named[id_col].cast("long") == first["_id"]) & (named["_text"] == first["_h"]), "left_semi").dropDuplicates([id_col, "_text"]).drop("_text")
+    return kept.unionByName(df.where(F.col(id_col).isNull()))
+
+
 def one_of_each(df: DataFrame, radius: int = 2, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of df whose id is the smallest of their component, all columns kept, one row for each id; rows with a null id stay."""
     found = near_duplicates(df, radius, words, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()

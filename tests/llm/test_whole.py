@@ -1,9 +1,12 @@
 """Cases in which an operator once did less than the whole job."""
 
+import random
+
 import brute
 import numpy as np
 import xxhash
 
+import corpus_pipeline
 from sedimenta.llm import lm_scoring
 
 
@@ -16,3 +19,26 @@ def test_lm_tells_words_apart_by_all_bits(spark):
     texts = [f"{a} {a} x {a}", f"{b} x y"]
     got = {r["doc_id"]: r["log_score"] for r in lm_scoring.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert all(abs(got[k] - x) < 1e-9 for k, x in enumerate(brute.lm(texts)))
+
+
+def test_near_duplicates_of_the_pipeline(spark):
+    """Copies with some words changed, against the similarity of all pairs."""
+    rnd, texts = random.Random(7), []
+    for _ in range(40):
+        words = [f"w{rnd.randrange(5000)}" for _ in range(rnd.randint(30, 400))]
+        texts.append(" ".join(words))
+        for changes in (1, 2, 3, 6):
+            own = list(words)
+            for at in rnd.sample(range(len(own)), changes):
+                own[at] = f"x{rnd.randrange(5000)}"
+            texts.append(" ".join(own))
+    texts += [texts[0].upper(), "", None, "too short", "Too  short"]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for t in texts]
+    label = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == set(label)
