@@ -56,12 +56,13 @@ def _list(column: str, role: str, text: str, names: dict[str, str] | None = None
 
 
 class Layout(NamedTuple):
-    """A mapping: the paths that a row has to fill, those it may fill, and the turns it makes of them."""
+    """A mapping: the paths that a row has to fill, those it may fill, and the turns it makes of them. With `columns`, which the table has to have, a row is one turn."""
 
     name: str
     needs: tuple[str, ...]
     may: tuple[str, ...]
     turns: Callable[[frozenset[str]], Column]
+    columns: tuple[str, ...] = ()
 
 
 def _pairs(prompt: str, answer: str) -> Callable[[frozenset[str]], Column]:
@@ -78,7 +79,10 @@ def _with_system(turns: Callable[[], Column]) -> Callable[[frozenset[str]], Colu
 
 
 SHARE = {"human": "user", "gpt": "assistant", "bing": "assistant", "chatgpt": "assistant"}
+#: A row is one turn.
+ROWS = ("conv_id", "turn", "role", "text")
 LAYOUTS = (
+    Layout("rows", (), ("role", "text"), lambda has: F.array(F.struct(F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))), ROWS),
     Layout("messages", ("messages[].role", "messages[].content"), ("system",), _with_system(_list("messages", "role", "content"))),
     Layout("conversations", ("conversations[].from", "conversations[].value"), ("system",), _with_system(_list("conversations", "from", "value", SHARE))),
     Layout("instruction", ("instruction", "output"), ("input", "system"), _instruction),
@@ -86,8 +90,6 @@ LAYOUTS = (
     Layout("prompt_completion", ("prompt", "completion"), ("system",), _pairs("prompt", "completion")),
     Layout("question_answer", ("question", "answer"), ("system",), _pairs("question", "answer")),
 )
-#: A row is one turn.
-ROWS = ("conv_id", "turn", "role", "text")
 
 
 def fingerprint(has: list[str] | tuple[str, ...] | set[str]) -> Column:
@@ -97,37 +99,61 @@ def fingerprint(has: list[str] | tuple[str, ...] | set[str]) -> Column:
 
 def row_fingerprint(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
     """Hash of the paths that each row fills, of those that some layout knows. A field of an array counts as filled if the array is not null and not empty."""
-    known = {p for x in layouts for p in (*x.needs, *x.may)} & set(paths(df.schema))
+    return _mark({p for x in layouts for p in (*x.needs, *x.may)} & set(paths(df.schema)))
+
+
+def _filled(path: str) -> Column:
+    head, _, rest = path.partition("[]")
+    return F.col(head).isNotNull() if not rest else F.coalesce(F.size(head) > 0, F.lit(False))
 
-    def filled(path: str) -> Column:
-        head, _, rest = path.partition("[]")
-        return F.col(head).isNotNull() if not rest else F.size(head) > 0
 
-    return F.xxhash64(F.concat_ws("\n", *(F.when(filled(p), F.lit(p)) for p in sorted(known))))
+def _mark(known: set[str]) -> Column:
+    return F.xxhash64(F.concat_ws("\n", *(F.when(_filled(p), F.lit(p)) for p in sorted(known))))
+
+
+def _subsets(x: list[str]) -> list[tuple[str, ...]]:
+    return [c for n in range(len(x) + 1) for c in itertools.combinations(x, n)]
+
+
+def _best(usable: list[Layout]) -> Column:
+    """The layout of which a row fills most paths, the first of equals; where it fills none, a turn of its own if the table has those, else null."""
+    scores = [sum((_filled(p).cast("int") for p in x.needs or x.may), F.lit(0)) for x in usable]
+    top = F.greatest(*scores, F.lit(0))
+    out = F.when(top == 0, F.lit(next((k for k, x in enumerate(usable) if x.columns), None)).cast("int"))
+    for k, own in enumerate(scores):
+        out = out.when(own == top, F.lit(k))
+    return out
 
 
 def canonical(df: DataFrame, key: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Turns (key, turn, role, text) of a table in any known layout, or in several at once: each row takes the mapping that its fingerprint selects.
 
-    A table whose rows are turns (conv_id, turn, role, text) is one already. Other tables have one row for each conversation, with its key. A row that
-    fits no layout is an error when it is read. Null texts are empty; extra columns are not read."""
+    A table whose rows are turns has conv_id, turn, role and text; there a row that no fingerprint fits takes the layout of which it fills most. Other
+    tables have one row for each conversation, with its key, and a row that fits no layout is an error when it is read. Null texts are empty; extra
+    columns are not read."""
     there = set(paths(df.schema))
-    if set(ROWS) <= there and key in df.columns:
-        return df.select(F.col(key).alias("key"), "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    mark, turns = row_fingerprint(df, layouts), None
-    for x in layouts:
-        if not set(x.needs) <= there:
-            continue
-        may = [p for p in x.may if p in there]
-        for some in (c for n in range(len(may) + 1) for c in itertools.combinations(may, n)):
-            has = frozenset((*x.needs, *some))
-            made = x.turns(has)
-            turns = F.when(mark == fingerprint(has), made) if turns is None else turns.when(mark == fingerprint(has), made)
-    if turns is None:
+    usable = [x for x in layouts if {*x.needs, *x.columns} <= there and (not x.columns or key in df.columns)]
+    if not usable:
         raise ValueError(f"no layout fits these fields: {sorted(there)}")
-    turns = turns.otherwise(F.raise_error(F.concat(F.lit("no layout fits the row "), F.coalesce(F.col(key).cast("string"), F.lit("null")))))
-    rows = df.select(F.col(key).alias("key"), F.posexplode(turns).alias("turn", "t"))
-    return rows.select("key", F.col("turn").cast("long").alias("turn"), F.coalesce("t.role", F.lit("")).alias("role"), F.coalesce("t.text", F.lit("")).alias("text"))
+    mark, selected, turns = row_fingerprint(df, tuple(usable)), None, None
+    by_row = next((k for k, x in enumerate(usable) if x.columns), None)
+    for k, x in enumerate(usable):
+        may = [p for p in x.may if p in there]
+        for some in _subsets(may):
+            hit = mark == fingerprint((*x.needs, *some))
+            selected = F.when(hit, F.lit(k)) if selected is None else selected.when(hit, F.lit(k))
+        for some in _subsets(may) if k != by_row else [()]:
+            hit = F.col("__layout") == k if k == by_row else (F.col("__layout") == k) & (_mark(set(may)) == fingerprint(some))
+            made = x.turns(frozenset((*x.needs, *some)))
+            turns = F.when(hit, made) if turns is None else turns.when(hit, made)
+    if by_row is not None:
+        selected = selected.otherwise(_best(usable))
+    else:
+        selected = selected.otherwise(F.raise_error(F.concat(F.lit("no layout fits the row "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("int"))
+    own = F.when(F.col("__layout") == by_row, F.col("turn")) if by_row is not None else F.lit(None).cast("long")
+    rows = df.withColumn("__layout", selected).select(F.col(key).alias("key"), own.alias("own"), "__layout", F.posexplode(turns).alias("turn", "t"))
+    turn = F.when(F.col("__layout") == by_row, F.col("own")).otherwise(F.col("turn")) if by_row is not None else F.col("turn").cast("long")
+    return rows.select("key", turn.alias("turn"), F.coalesce("t.role", F.lit("")).alias("role"), F.coalesce("t.text", F.lit("")).alias("text"))
 
 
 def formatted(turns: DataFrame, trained: tuple[str, ...] = ("assistant",)) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import xxhash
 
 import corpus_pipeline
-from sedimenta.llm import lm_scoring
+from sedimenta.llm import chat, lm_scoring
 
 
 def test_lm_tells_words_apart_by_all_bits(spark):
@@ -42,3 +42,13 @@ def test_near_duplicates_of_the_pipeline(spark):
                 label = [low if x == high else x for x in label]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == set(label)
+
+
+def test_chat_rows_of_two_layouts(spark):
+    """Turns and whole conversations in one table."""
+    df = spark.createDataFrame(
+        [(1, 0, "user", "Hi", None, None, None), (1, 1, "assistant", "Yo", None, None, None), (2, None, None, None, [("user", "a"), ("assistant", "b")], None, None), (3, None, None, None, None, "p", "q"), (4, 0, None, None, [], None, None), (5, 0, "user", "x", None, "extra", "extra")],
+        "conv_id long, turn long, role string, text string, messages array<struct<role:string,content:string>>, prompt string, response string",
+    )
+    got = {r["key"]: [tuple(t) for t in r["turns"]] for r in chat.read_back(chat.chat(df)).collect()}
+    assert got == {1: [("user", "Hi"), ("assistant", "Yo")], 2: [("user", "a"), ("assistant", "b")], 3: [("user", "p"), ("assistant", "q")], 4: [("", "")], 5: [("user", "x")]}
