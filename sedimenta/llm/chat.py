@@ -81,6 +81,8 @@ def _with_system(turns: Callable[[], Column]) -> Callable[[frozenset[str]], Colu
 SHARE = {"human": "user", "gpt": "assistant", "bing": "assistant", "chatgpt": "assistant"}
 #: A row is one turn.
 ROWS = ("conv_id", "turn", "role", "text")
+#: Where a conversation without turns stands, behind all turns.
+LAST = 2**63 - 1
 LAYOUTS = (
     Layout("rows", (), ("role", "text"), lambda has: F.array(F.struct(F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))), ROWS),
     Layout("messages", ("messages[].role", "messages[].content"), ("system",), _with_system(_list("messages", "role", "content"))),
@@ -125,12 +127,14 @@ def _best(usable: list[Layout]) -> Column:
     return out
 
 
-def canonical(df: DataFrame, key: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+def canonical(df: DataFrame, key: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS, misfit: str = "error") -> DataFrame:
     """Turns (key, turn, role, text) of a table in any known layout, or in several at once: each row takes the mapping that its fingerprint selects.
 
     A table whose rows are turns has conv_id, turn, role and text; there a row that no fingerprint fits takes the layout of which it fills most. Other
-    tables have one row for each conversation, with its key, and a row that fits no layout is an error when it is read. Null texts are empty; extra
-    columns are not read."""
+    tables have one row for each conversation, with its key; there misfit="error" stops at a row that no fingerprint fits, and "empty" takes the layout of which
+    it fills most, with empty turns for null fields, and no turns (role, text null, turn LAST) where it fills none. Null texts are empty; extra columns are not read."""
+    if misfit not in ("error", "empty"):
+        raise ValueError(f"misfit: {misfit}")
     there = set(paths(df.schema))
     usable = [x for x in layouts if {*x.needs, *x.columns} <= there and (not x.columns or key in df.columns)]
     if not usable:
@@ -146,14 +150,15 @@ def canonical(df: DataFrame, key: str = "conv_id", layouts: tuple[Layout, ...] =
             hit = F.col("__layout") == k if k == by_row else (F.col("__layout") == k) & (_mark(set(may)) == fingerprint(some))
             made = x.turns(frozenset((*x.needs, *some)))
             turns = F.when(hit, made) if turns is None else turns.when(hit, made)
-    if by_row is not None:
+    if by_row is not None or misfit == "empty":
         selected = selected.otherwise(_best(usable))
     else:
         selected = selected.otherwise(F.raise_error(F.concat(F.lit("no layout fits the row "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("int"))
     own = F.when(F.col("__layout") == by_row, F.col("turn")) if by_row is not None else F.lit(None).cast("long")
-    rows = df.withColumn("__layout", selected).select(F.col(key).alias("key"), own.alias("own"), "__layout", F.posexplode(turns).alias("turn", "t"))
+    rows = df.withColumn("__layout", selected).select(F.col(key).alias("key"), own.alias("own"), "__layout", F.posexplode_outer(turns).alias("turn", "t"))
     turn = F.when(F.col("__layout") == by_row, F.col("own")).otherwise(F.col("turn")) if by_row is not None else F.col("turn").cast("long")
-    return rows.select("key", turn.alias("turn"), F.coalesce("t.role", F.lit("")).alias("role"), F.coalesce("t.text", F.lit("")).alias("text"))
+    some = F.col("t").isNotNull()
+    return rows.select("key", F.when(some, turn).otherwise(F.lit(LAST)).alias("turn"), F.when(some, F.coalesce("t.role", F.lit(""))).alias("role"), F.when(some, F.coalesce("t.text", F.lit(""))).alias("text"))
 
 
 def formatted(turns: DataFrame, trained: tuple[str, ...] = ("assistant",)) -> DataFrame:
@@ -162,7 +167,7 @@ def formatted(turns: DataFrame, trained: tuple[str, ...] = ("assistant",)) -> Da
     (start, end) in code points, with the index of the turn and the place inside it."""
     from pyspark.sql import Window
 
-    role, text = escaped(F.col("role")), escaped(F.col("text"))
+    role, text = escaped(F.col("role")), escaped(F.col("text"))  # both null where a conversation has no turns: nothing is written
     rows = turns.select("key", "turn", "role", "text", F.concat(F.lit(TURN), role, F.lit(TEXT)).alias("head"), text.alias("body"))
     rows = rows.withColumns({"inside": F.char_length("head"), "long": F.char_length("body")})
     w = Window.partitionBy("key").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
@@ -188,6 +193,6 @@ def read_back(made: DataFrame) -> DataFrame:
     return made.select("key", "formatted", F.transform("pieces", turn).alias("turns"), F.transform("loss", learnt).alias("learnt"))
 
 
-def chat(df: DataFrame, key: str = "conv_id", trained: tuple[str, ...] = ("assistant",), layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """Conversations of any known layout, formatted: key, formatted and loss, as `formatted` has them. An empty table gives an empty result."""
-    return formatted(canonical(df, key, layouts), trained)
+def chat(df: DataFrame, key: str = "conv_id", trained: tuple[str, ...] = ("assistant",), layouts: tuple[Layout, ...] = LAYOUTS, misfit: str = "error") -> DataFrame:
+    """Conversations of any known layout, formatted: key, formatted and loss, as `formatted` has them; `misfit` as in `canonical`. An empty table gives an empty result."""
+    return formatted(canonical(df, key, layouts, misfit), trained)

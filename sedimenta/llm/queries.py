@@ -38,7 +38,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
-    back = chat.read_back(chat.chat(rows.unionByName(more)))
+    back = chat.read_back(chat.chat(rows.unionByName(more), misfit="empty"))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         F.col("key").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.char_length(F.array_join("learnt", "")).cast("long").alias("loss_chars"),

@@ -52,3 +52,14 @@ def test_chat_rows_of_two_layouts(spark):
     )
     got = {r["key"]: [tuple(t) for t in r["turns"]] for r in chat.read_back(chat.chat(df)).collect()}
     assert got == {1: [("user", "Hi"), ("assistant", "Yo")], 2: [("user", "a"), ("assistant", "b")], 3: [("user", "p"), ("assistant", "q")], 4: [("", "")], 5: [("user", "x")]}
+
+
+def test_chat_rows_that_fit_no_layout(spark):
+    """One odd row costs no other conversation."""
+    df = spark.createDataFrame(
+        [(1, "Hi", "Yo", None), (2, "Hi", None, None), (3, None, None, []), (4, None, None, None), (5, "p", "q", [("user", "a"), ("assistant", "b")]), (6, None, "z", [("user", "c")]), (None, None, None, None)],
+        "conv_id long, prompt string, response string, messages array<struct<role:string,content:string>>",
+    )
+    made = chat.chat(df, misfit="empty")
+    got = {r["key"]: ([tuple(t) for t in r["turns"]], r["learnt"]) for r in chat.read_back(made).collect()}
+    assert got == {1: ([("user", "Hi"), ("assistant", "Yo")], ["Yo"]), 2: ([("user", "Hi"), ("assistant", "")], [""]), 3: ([], []), 4: ([], []), 5: ([("user", "a"), ("assistant", "b")], ["b"]), 6: ([("user", "c")], []), None: ([], [])}
