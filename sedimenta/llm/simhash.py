@@ -236,6 +236,12 @@ def near_duplicates(df: DataFrame, radius: int = 2, words: int = 3, id_col: str
     component only if their fingerprints link. A null id counts as no id: it takes the component of its fingerprint, null if that has none. An
     empty table gives an empty result. Other columns are not read."""
     docs = stored(hashed(df, words, id_col, text_col), "fingerprints")
+    named = _members(docs, radius, blocks, most).select("f", "component_id")
+    return docs.join(named, "f").select(F.col("id").alias(id_col), hex16(F.col("f")).alias("fingerprint"), "component_id")
+
+
+def _members(docs: DataFrame, radius: int, blocks: int = 4, most: int = 4_000) -> DataFrame:
+    """(f, component, component_id) of each fingerprint of docs (id, f): a fingerprint that names the component, and its smallest id."""
     prints = docs.groupBy("f").agg(F.min("id").alias("id"))
     # Fingerprints are told apart by themselves while linking: an id could repeat. The smallest id of a component comes last.
     prints = stored(prints, "distinct")
@@ -244,8 +250,7 @@ def near_duplicates(df: DataFrame, radius: int = 2, words: int = 3, id_col: str
     members = prints.join(found.select(F.col("id").alias("f"), "component"), "f", "left").select("f", "id", F.coalesce("component", "f").alias("component"))
     members = stored(members, "members")
     least = members.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = members.select("f", "component").join(least, "component").select("f", "component_id")
-    return docs.join(named, "f").select(F.col("id").alias(id_col), hex16(F.col("f")).alias("fingerprint"), "component_id")
+    return members.select("f", "component").join(least, "component")
 
 
 def keep_one(df: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -257,8 +262,14 @@ def keep_one(df: DataFrame, members: DataFrame, id_col: str, text_col: str) -> D
 
 
 def one_of_each(df: DataFrame, radius: int = 2, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of df whose id is the smallest of their component, all columns kept, one row for each id; rows with a null id stay."""
-    found = near_duplicates(df, radius, words, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
-    named = df.where(F.col(id_col).isNotNull())
-    kept = named.join(found, named[id_col] == found["_kept"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(df.where(F.col(id_col).isNull()))
+    """One row of df for each component, with its smallest id, all columns kept; an id that repeats in several components stays once for each of which it
+    is the smallest. Rows with a null id stay."""
+    text = text_or_empty(text_col)
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fingerprints(b.column(2).to_pylist(), words).view(np.int64))], ["id", "h", "f"])
+
+    docs = stored(rows.mapInArrow(run, "id long, h long, f long"), "fingerprints")
+    return keep_one(df, docs.join(_members(docs, radius), "f").select("id", "h", "component"), id_col, text_col)
