@@ -30,7 +30,7 @@ KEYS_PER_BUCKET = 4
 
 
 def key_of(doc_id: int | None, repeat: int = 0) -> bytes:
-    """A document's key: its id, and how many rows of the same id come before it."""
+    """A document's key: its id, and how many rows of the same id come before it in its part."""
     return f"{'' if doc_id is None else doc_id}#{repeat}".encode()
 
 
@@ -181,10 +181,17 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, path: str, doc_id: int, repeat: int = 0) -> list[int] | None:
-    """The ids of one document: the shards whose range holds the id (pushed to the scan), then one step in each index."""
+    """The ids of one document: the shards whose range holds the id (pushed to the scan), then one step in the index of the one that holds this repeat. A
+    repeated id can go on in the next part, where its keys count from 0 again; so the rows of the shards before are counted."""
     shards = _shards(spark, path).where((F.col("first_id").isNull() | (F.col("first_id") <= doc_id)) & (F.col("last_id") >= doc_id))
-    for r in shards.select("index", "payload").toLocalIterator():
-        index, width = PerfectIndex.load(r["index"])
-        if at := index.find(key_of(doc_id, repeat)):
-            return np.frombuffer(r["payload"], f"<u{width}")[at[0] : sum(at)].tolist()
+    seen = 0
+    for r in shards.select("part", "shard", "ids").orderBy("part", "shard").toLocalIterator() if repeat >= 0 else ():
+        known = np.frombuffer(r["ids"], "<i8").reshape(-1, 3)
+        own = known[(known[:, 0] == 1) & (known[:, 1] == doc_id), 2]
+        if repeat - seen < len(own):
+            one = shards.where((F.col("part") == r["part"]) & (F.col("shard") == r["shard"])).select("index", "payload").first()
+            index, width = PerfectIndex.load(one["index"])
+            at = index.find(key_of(doc_id, int(own[repeat - seen])))
+            return np.frombuffer(one["payload"], f"<u{width}")[at[0] : sum(at)].tolist()
+        seen += len(own)
     return None

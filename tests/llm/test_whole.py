@@ -4,10 +4,12 @@ import random
 
 import brute
 import numpy as np
+import public_tokenizers
+import pytest
 import xxhash
 
 import corpus_pipeline
-from sedimenta.llm import chat, lm_scoring
+from sedimenta.llm import chat, common, lm_scoring, near_copies, simhash, token_files
 
 
 def test_lm_tells_words_apart_by_all_bits(spark):
@@ -63,3 +65,27 @@ def test_chat_rows_that_fit_no_layout(spark):
     made = chat.chat(df, misfit="empty")
     got = {r["key"]: ([tuple(t) for t in r["turns"]], r["learnt"]) for r in chat.read_back(made).collect()}
     assert got == {1: ([("user", "Hi"), ("assistant", "Yo")], ["Yo"]), 2: ([("user", "Hi"), ("assistant", "")], [""]), 3: ([], []), 4: ([], []), 5: ([("user", "a"), ("assistant", "b")], ["b"]), 6: ([("user", "c")], []), None: ([], [])}
+
+
+@pytest.mark.parametrize("one_of_each", [simhash.one_of_each, near_copies.one_of_each])
+def test_an_id_in_two_components(spark, one_of_each):
+    """Rows of one id, one a copy of another document and one with a text of its own."""
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    rows = [x for k in range(30) for x in ((1000 + k, text(2 * k)), (k, text(2 * k)), (1000 + k, text(2 * k + 1)))]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(x for x in rows if x != (x[0], text(2 * (x[0] - 1000))))
+
+
+def test_lookup_of_an_id_in_several_parts(spark):
+    word, path = public_tokenizers.path("word_bpe_49k.json"), common.shared_path(spark, "t")
+    rows = [(k, f"single {k}") for k in range(100, 130)] + [(7, f"repeat {k}") for k in range(40)] + [(k, "first") for k in range(5)]
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_files.write(spark.createDataFrame(rows, "doc_id long, text string"), path, word, shard_bytes=60)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    assert spark.read.parquet(path).where("first_id <= 7 and last_id >= 7").select("part").distinct().count() > 1
+    got = [token_files.lookup(spark, path, 7, k) for k in range(40)]
+    assert sorted(got) == sorted([*brute.ids("word_bpe_49k.json", f"repeat {k}"), 1] for k in range(40))
+    assert token_files.lookup(spark, path, 7, 40) is None
