@@ -1,226 +1,150 @@
-"""Stupid-backoff language-model scores from n-gram counts of the whole corpus.
+"""Stupid-backoff language-model scores from n-gram counts of the whole corpus, computed relationally.
 
-Relations in blocks: a row of a block table holds the n-grams of one chunk of documents that fall into one hash partition, as sorted hashes with their counts
-in the chunk. Counting groups the blocks by hash partition and sums equal n-grams; the join sends each block's totals back to its chunk; the
-sums run per document. So every n-gram crosses the network once and its total once, in about 7 and 1 bytes, a frequent n-gram costs one entry a
-chunk, and the work is in sorted arrays. Where blocks get small (very many chunks) they become single rows, never more than an exploded table has."""
+Texts are exploded into n-grams, rows of the words themselves. The n-grams are partitioned by a hash of their context (all words but the last), so that one
+exchange brings together whatever has to be counted for a word: its n-gram and its context. Counting is two aggregates over that partitioning, and their
+join back to the exploded n-grams needs no other exchange; the sums by document are pre-aggregated. A context that would outgrow one task is
+found by a Misra-Gries pass and takes another way: its n-grams are counted with partial aggregates, and its rows join that table by n-gram."""
 
 from __future__ import annotations
 
+import functools
 import math
-import zlib
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+import string
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from sedimenta.llm.common import OUT_ROWS, stored, text_or_empty
+from sedimenta.llm.common import stored, text_or_empty
 
-#: Words of the documents of one chunk (or one longer document).
-CHUNK_WORDS = 1_000_000
-#: N-gram entries that one hash partition gets on average.
-PARTITION_KEYS = 2_000_000
-_MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+#: Exploded n-grams that one partition gets on average; a context with more of them in all is dealt otherwise.
+PARTITION_ROWS = 2_000_000
+MOST_PARTITIONS = 50_000
+#: Contexts with a smaller share of all n-grams are never looked for (Spark's bound for frequent items).
+LEAST_SHARE = 1e-4
+SPACE = " \t\n\x0b\x0c\r"
+NEXT, FIRST, END, WHOLE = range(4)
+ITEMS = "array<struct<gram:string,kind:tinyint>>"
 
 
-def words_of(text: str) -> list[bytes]:
+def words_of(text: Column) -> Column:
     """Words are runs of other than ASCII white space, A-Z lower-cased."""
-    return text.encode().lower().split()
-
-
-def _scramble(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def ngrams(words: np.ndarray, docs: np.ndarray, order: int) -> list[np.ndarray]:
-    """For n = 1..order the 64-bit hash of the n-gram that ends at each word, from the words' hashes; 0 where the document has begun less than n words ago."""
-    out, key = [words], words
-    place = np.arange(len(words)) - np.repeat(np.cumsum(docs) - docs, docs)
-    for n in range(2, order + 1):
-        before = np.concatenate([np.zeros(1, np.uint64), key[:-1]]) if len(key) else key
-        key = _scramble(before * np.uint64(_MIX[0]) + words * np.uint64(_MIX[1]) + np.uint64(n))
-        key = np.where(place >= n - 1, np.maximum(key, np.uint64(1)), np.uint64(0))
-        out.append(key)
-    return out
-
-
-def hash_partitions(keys: np.ndarray, n: int) -> np.ndarray:
-    """0..n-1, rising with the key."""
-    return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
-
-
-CHUNK = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("n_words", T.LongType()), *(T.StructField(x, T.BinaryType()) for x in ("ids", "sizes", "vocab", "words"))])
-
-
-def chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = CHUNK_WORDS) -> DataFrame:
-    """Documents in chunks: row ids (flag, id), words of each, the distinct words' hashes, and the words as indices into those."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made = TaskContext.get().partitionId(), 0
-        ids, sizes, seen, kept, total = [], [], {}, [], 0
-
-        def chunk() -> pa.RecordBatch:
-            vocab = np.fromiter((max(1, xxhash.xxh3_64_intdigest(w)) for w in seen), np.uint64, len(seen))
-            flat = np.concatenate(kept) if kept else np.zeros(0, np.uint32)
-            known = np.array([(i is not None, i or 0) for i in ids], "<i8")
-            row = ((part << 32) + made, total, known.tobytes(), np.array(sizes, "<i8").tobytes(), vocab.tobytes(), pack_small(flat))
-            return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], CHUNK.names)
-
-        for b in batches:
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = words_of(text)
-                if ids and total + len(own) > words:
-                    yield chunk()
-                    ids, sizes, seen, kept, total, made = [], [], {}, [], 0, made + 1
-                ids.append(i)
-                sizes.append(len(own))
-                kept.append(np.fromiter((seen.setdefault(w, len(seen)) for w in own), np.uint32, len(own)))
-                total += len(own)
-        if ids:
-            yield chunk()
-
-    return rows.mapInArrow(run, CHUNK)
-
-
-def _grams(sizes: bytes, vocab: bytes, words: bytes, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The words of each document, and the n-grams' hashes."""
-    docs = np.frombuffer(sizes, "<i8")
-    flat = np.frombuffer(vocab, np.uint64)[unpack_small(words)]
-    return docs, ngrams(flat, docs, order)
-
-
-def _planes(values: np.ndarray, width: int) -> np.ndarray:
-    """Row k holds byte k of all values."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
-
-
-def _width(values: np.ndarray) -> int:
-    return (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
-
-
-def pack_small(values: np.ndarray) -> bytes:
-    """Numbers by byte planes: the low bytes of all, then the next ones, which repeat and compress."""
-    width = _width(values)
-    return len(values).to_bytes(8, "little") + bytes([width]) + zlib.compress(_planes(values, width).tobytes(), 1)
-
-
-def unpack_small(data: bytes) -> np.ndarray:
-    n, width = int.from_bytes(data[:8], "little"), data[8]
-    out = np.zeros((n, 8), np.uint8)
-    if n and width:
-        out[:, :width] = np.frombuffer(zlib.decompress(data[9:]), np.uint8).reshape(width, n).T
-    return out.view("<i8").ravel()
-
-
-def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys as their steps, by byte planes; the lower ones are noise, the highest is mostly small and is compressed."""
-    steps = np.diff(keys)
-    width = _width(steps)
-    rows = _planes(steps, width)
-    return bytes([width]) + keys[:1].astype("<u8").tobytes() + rows[:-1].tobytes() + (zlib.compress(rows[-1].tobytes(), 1) if width else b"")
-
-
-def unpack_keys(data: bytes, n: int) -> np.ndarray:
-    steps = np.zeros((n, 8), np.uint8)
-    if n > 1 and data[0]:
-        low = 9 + (data[0] - 1) * (n - 1)
-        steps[1:, : data[0] - 1] = np.frombuffer(data[9:low], np.uint8).reshape(data[0] - 1, n - 1).T
-        steps[1:, data[0] - 1] = np.frombuffer(zlib.decompress(data[low:]), np.uint8)
-    out = steps.view("<u8").ravel()
-    out[0] = np.frombuffer(data, "<u8", 1, 1)[0]
-    return np.cumsum(out, dtype=np.uint64)
-
-
-def _distinct(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct n-grams and their counts."""
-    flat = np.sort(np.concatenate([k[k > 0] for k in keys]))
-    head = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
-    return flat[head], np.diff(np.append(head, len(flat)))
-
-
-BLOCK = T.StructType([T.StructField("hp", T.LongType()), T.StructField("chunk", T.LongType()), T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())])
-TOTAL = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("hp", T.LongType()), T.StructField("totals", T.BinaryType())])
-
-
-def blocks(packed: DataFrame, order: int, partitions: int) -> DataFrame:
-    """The exploded n-grams of each chunk, pre-aggregated, one row for each hash partition they fall into."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for chunk, sizes, vocab, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                keys, counts = _distinct(_grams(sizes, vocab, words, order)[1])
-                hp = hash_partitions(keys, partitions)
-                edge = np.flatnonzero(np.concatenate([[True], hp[1:] != hp[:-1], [True]])) if len(hp) else np.zeros(1, np.int64)
-                rows = [(int(hp[a]), chunk, pack_keys(keys[a:z]), pack_small(counts[a:z])) for a, z in zip(edge[:-1], edge[1:], strict=True)]
-                for k in range(0, len(rows), OUT_ROWS):
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[k : k + OUT_ROWS], strict=True)], BLOCK.names)
-
-    return packed.select("chunk", "sizes", "vocab", "words").mapInArrow(run, BLOCK)
-
-
-def totals(made: DataFrame) -> DataFrame:
-    """Count tables by hash partition, joined to the blocks they came from: the corpus count of each n-gram of a block."""
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        counts = [unpack_small(x) for x in table.column("counts").to_pylist()]
-        sizes = [len(c) for c in counts]
-        keys, counts = [unpack_keys(x, n) for x, n in zip(table.column("keys").to_pylist(), sizes, strict=True)], np.concatenate(counts)
-        flat = np.concatenate(keys)
-        order = np.argsort(flat, kind="stable")
-        ranked = flat[order]
-        head = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        sums = np.add.reduceat(counts[order], head)
-        back = np.empty(len(flat), np.int64)
-        back[order] = np.repeat(sums, np.diff(np.append(head, len(flat))))
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        out = [pack_small(back[a:z]) for a, z in zip(at[:-1], at[1:], strict=True)]
-        return pa.table({"chunk": table.column("chunk"), "hp": table.column("hp"), "totals": pa.array(out, pa.binary())})
-
-    return made.groupBy("hp").applyInArrow(run, TOTAL)
-
-
-def score(df: DataFrame, order: int = 3, backoff: float = 0.4, least: int = 2, id_col: str = "doc_id", text_col: str = "text", chunk_words: int = CHUNK_WORDS, partition_keys: int = PARTITION_KEYS) -> DataFrame:
+    low = F.btrim(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit(SPACE))
+    return F.when(low == "", F.array().cast("array<string>")).otherwise(F.split(low, r"[ \t\n\x0b\f\r]+"))
+
+
+def _has(text: Column, n: int) -> Column:
+    """Whether a text has exactly n words, without splitting it."""
+    return text.rlike(rf"\A[ \t\n\x0b\f\r]*{r'[^ \t\n\x0b\f\r]+[ \t\n\x0b\f\r]+' * (n - 1)}{r'[^ \t\n\x0b\f\r]+[ \t\n\x0b\f\r]*' if n else ''}\z")
+
+
+def exploded(docs: DataFrame, n: int) -> DataFrame:
+    """docs (row, id, words) -> one row for each word that has n - 1 before it, with the n-gram that ends there (FIRST in its document, or NEXT), and one for
+    the end of each document of n - 1 words or more: its last n - 1 words and a space, which is an occurrence of that context only (WHOLE if it is
+    all of the document). Ends carry the document's id and number of words."""
+    size = F.size("words")
+    item = lambda gram, kind: F.struct(gram.alias("gram"), kind.cast("byte").alias("kind"))
+    token = lambda k: item(F.array_join(F.slice("words", k - (n - 2), F.lit(n)), " "), F.when(k == n - 1, FIRST).otherwise(NEXT))
+    end = item(F.concat(F.array_join(F.slice("words", size - (n - 2), F.lit(n - 1)), " "), F.lit(" ")), F.when(size == n - 1, WHOLE).otherwise(END))
+    tokens = F.when(size >= n, F.transform(F.sequence(F.lit(n - 1), F.greatest(size - 1, F.lit(n - 1))), token)).otherwise(F.array().cast(ITEMS))
+    items = F.when(size >= n - 1, F.concat(tokens, F.array(end))).otherwise(F.array().cast(ITEMS))
+    rows = docs.select("row", "id", size.cast("long").alias("n_words"), F.explode(items).alias("x"))
+    last = F.col("x.kind") >= END
+    return rows.select("row", "x.gram", "x.kind", F.when(last, F.col("id")).alias("id"), F.when(last, F.col("n_words")).alias("n_words"))
+
+
+def _context(n: int) -> Column:
+    return F.substring_index("gram", " ", n - 1)
+
+
+def frequent(rows: DataFrame, n: int, total: int, partition_rows: int) -> list[int]:
+    """Hashes of the contexts that may have more than `partition_rows` of the `total` rows, at most 1 / LEAST_SHARE; all that do are among them."""
+    if total <= partition_rows:
+        return []
+    found = rows.select(F.xxhash64(_context(n)).alias("c")).stat.freqItems(["c"], max(LEAST_SHARE, min(1.0, partition_rows / total))).first()[0]
+    return sorted(found)
+
+
+def counted(rows: DataFrame, n: int, total: int, hot: list[int], partition_rows: int, times: str | None = None) -> DataFrame:
+    """rows (gram, ...) with seen, the corpus count of the n-gram, and context, that of its first n - 1 words. `times`: how often a row counts (1)."""
+    sums = F.sum(F.col(times)) if times else F.count(F.lit(1))
+    is_hot = F.xxhash64(_context(n)).isin(hot) if hot else F.lit(False)
+    cold = rows.where(~is_hot).repartition(min(MOST_PARTITIONS, max(1, math.ceil(total / partition_rows))), _context(n)).withColumn("of", _context(n))
+    cold = cold.sortWithinPartitions("of", "gram").withColumns({"seen": sums.over(Window.partitionBy("of", "gram")), "context": sums.over(Window.partitionBy("of"))}).drop("of")
+    if not hot:
+        return cold
+    rest = rows.where(is_hot)
+    table = rest.groupBy("gram").agg(sums.alias("seen"))
+    contexts = table.groupBy(_context(n).alias("of")).agg(F.sum("seen").alias("context"))  # at most 1 / LEAST_SHARE rows
+    table = table.withColumn("of", _context(n)).join(F.broadcast(contexts), "of").select("gram", "seen", "context")
+    return cold.unionByName(rest.join(table, "gram").select(cold.columns))
+
+
+def score(df: DataFrame, order: int = 3, backoff: float = 0.4, least: int = 1, id_col: str = "doc_id", text_col: str = "text", partition_rows: int = PARTITION_ROWS) -> DataFrame:
     """One row for each row of df: the id, n_words, log_score (sum over its words of ln S) and score (its mean; null without words).
 
-    S of a word after its context: count(n-gram) / count(context) for the longest n-gram up to `order` within the document that occurs at least `least`
-    times in df; each shorter context multiplies by `backoff`; a word alone has count / number of words, and is never pruned. Counts are of the whole
-    table, the document itself included. n-grams are told apart by hashes of 64 bits. Null and empty texts have no words and log_score 0. Null and repeated
-    ids keep one row each. An empty table gives an empty result."""
-    packed = stored(chunks(df, id_col, text_col, chunk_words), "chunks")
-    words, n_chunks = packed.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count(F.lit(1))).first()
-    partitions = max(1, math.ceil(words * order / partition_keys), min(64, n_chunks))
-    back = totals(blocks(packed, order, partitions))
-
-    def run(key: tuple, chunk: pa.Table, found: pa.Table) -> pa.Table:
-        found = found.sort_by("hp")
-        total = np.concatenate([np.zeros(0, np.int64), *(unpack_small(x) for x in found.column("totals").to_pylist())])
-        row = {k: chunk.column(k)[0].as_py() for k in ("ids", "sizes", "vocab", "words")}
-        docs, grams = _grams(row["sizes"], row["vocab"], row["words"], order)
-        keys, _ = _distinct(grams)
-        seen = []
-        for n, g in enumerate(grams):
-            own = np.zeros(len(g), np.int64)
-            there = g > 0
-            own[there] = total[np.searchsorted(keys, g[there])]
-            seen.append(own if n == 0 else np.where(own >= least, own, 0))
-        value = seen[0] / max(1, words)
-        for n in range(1, order):  # from short to long: a longer n-gram that was seen replaces what was found so far
-            context = np.concatenate([[0], seen[n - 1][:-1]]) if len(seen[n]) else seen[n]
-            place = grams[n] > 0
-            value = np.where(place & (seen[n] > 0), seen[n] / np.maximum(context, 1), np.where(place, backoff * value, value))
-        logs = np.log(value)
-        ids, at = np.frombuffer(row["ids"], "<i8").reshape(-1, 2), np.concatenate([[0], np.cumsum(docs)])
-        sums = np.array([math.fsum(logs[a:z]) for a, z in zip(at[:-1], at[1:], strict=True)])
-        mean = [s / n if n else None for s, n in zip(sums.tolist(), docs.tolist(), strict=True)]
-        return pa.table({id_col: pa.array([i if there else None for there, i in ids.tolist()], pa.int64()), "n_words": pa.array(docs), "log_score": pa.array(sums), "score": pa.array(mean, pa.float64())})
-
-    schema = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("log_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    return packed.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(run, schema)
+    S of a word after its context: count(n-gram) / count(context) for the longest n-gram up to `order` (2 at least) within the document that occurs at
+    least `least` times in df; each shorter context multiplies by `backoff`; a word alone has count / number of words, and is never pruned. Counts are of
+    the whole table, the document itself included, and exact: n-grams are compared as text. With least=1 every n-gram of a document has been seen, so a
+    word falls back to a shorter context only where its document begins; larger values cost an exchange of all n-grams for each order.
+
+    Null and empty texts have no words and log_score 0. Null and repeated ids of any type keep one row each. An empty table gives an empty result."""
+    if order < 2 or least < 1:
+        raise ValueError("order is 2 or more, least is 1 or more")
+    text = F.col("text")
+    docs = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    sizes = docs.select(F.size(words_of(text)).cast("long").alias("n"))
+    sizes = sizes.agg(F.sum("n"), F.sum(F.greatest(F.col("n") - (order - 2), F.lit(0))), F.collect_set(F.when(F.col("n").between(1, order - 2), F.col("n")))).first()
+    words, total, short = sizes[0] or 0, sizes[1] or 0, sorted(sizes[2])
+    parts = [(docs.where(_has(text, 0)) if words else docs).select("id", F.lit(0).cast("long").alias("n_words"), F.lit(0.0).alias("value"))]
+    if words:
+        hot = frequent(exploded(docs.select(F.lit(0).alias("row"), "id", words_of(text).alias("words")), order), order, total, partition_rows)
+        docs = docs.withColumn("row", F.monotonically_increasing_id())
+        if hot or least > 1:  # several branches have to agree on the numbers of rows
+            docs = stored(docs, "numbered")
+        split = docs.select("row", "id", words_of(text).alias("words"))
+        if least == 1:
+            parts.append(_summed(_all_seen(exploded(split, order), order, words, total, hot, partition_rows)))
+            for m in short:  # shorter than a context: its S multiply to count(all of it) / number of words
+                whole = docs.where(_has(text, m)).select("id", F.array_join(words_of(text), " ").alias("gram"))
+                parts.append(whole.join(_counts(split, m), "gram").select("id", F.lit(m).cast("long").alias("n_words"), (F.log("seen") - math.log(words)).alias("value")))
+        else:
+            parts.append(_summed(_cascade(split.where(~_has(text, 0)), order, backoff, least, words, total, partition_rows)))
+    out = functools.reduce(DataFrame.union, parts)
+    return out.select(F.col("id").alias(id_col), "n_words", F.col("value").alias("log_score"), F.when(F.col("n_words") > 0, F.col("value") / F.col("n_words")).alias("score"))
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    """rows (row, value; id and n_words in one of them) -> (id, n_words, value)."""
+    return rows.groupBy("row").agg(F.first("id", ignorenulls=True).alias("id"), F.first("n_words", ignorenulls=True).alias("n_words"), F.sum("value").alias("value")).drop("row")
+
+
+def _counts(docs: DataFrame, m: int) -> DataFrame:
+    """(gram, seen) of all m-grams."""
+    if m == 1:
+        return docs.select(F.explode("words").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("seen"))
+    return exploded(docs, m).where(F.col("kind") <= FIRST).groupBy("gram").agg(F.count(F.lit(1)).alias("seen"))
+
+
+def _all_seen(rows: DataFrame, order: int, words: int, total: int, hot: list[int], partition_rows: int) -> DataFrame:
+    """Every n-gram counts, none falls back. The shorter contexts of the first words of a document cancel out: S(w1) S(w2|w1) S(w3|w1 w2) is
+    count(w1) / words * count(w1 w2) / count(w1) * count(w1 w2 w3) / count(w1 w2) = count(w1 w2 w3) / words."""
+    kind, seen, context = F.col("kind"), F.log("seen"), F.log("context")
+    value = F.when(kind == NEXT, seen - context).when(kind == FIRST, seen - math.log(words)).when(kind == WHOLE, context - math.log(words))
+    return counted(rows, order, total, hot, partition_rows).select("row", "id", "n_words", value.alias("value"))
+
+
+def _cascade(docs: DataFrame, order: int, backoff: float, least: int, words: int, total: int, partition_rows: int) -> DataFrame:
+    """From the longest n-grams to the shortest: words whose n-gram is too rare go on to the next order, with the price so far."""
+    named, rest = docs.select("row", "id", F.size("words").cast("long").alias("n_words"), F.lit(0.0).alias("value")), None
+    parts = []
+    for n in range(order, 1, -1):
+        asked = (F.col("kind") == FIRST) | ((F.col("kind") == NEXT) & F.lit(n == order))
+        rows = exploded(docs, n).select("row", "gram", F.lit(1).alias("times"), asked.alias("asked"), F.lit(0.0).alias("price"))
+        rows = rows if rest is None else rows.unionByName(rest)
+        made = stored(counted(rows, n, total, frequent(rows, n, total, partition_rows), partition_rows, "times").where("asked"), f"order{n}")
+        parts.append(made.where(F.col("seen") >= least).select("row", (F.log("seen") - F.log("context") + F.col("price")).alias("value")))
+        shorter = F.expr("substring(gram, locate(' ', gram) + 1)")
+        rest = made.where(F.col("seen") < least).select("row", shorter.alias("gram"), F.lit(0).alias("times"), F.lit(True).alias("asked"), (F.col("price") + math.log(backoff)).alias("price"))
+    alone = docs.select("row", F.col("words")[0].alias("gram"), F.lit(0.0).alias("price")).union(rest.select("row", "gram", "price"))
+    parts.append(alone.join(_counts(docs, 1), "gram").select("row", (F.log("seen") - math.log(words) + F.col("price")).alias("value")))
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [named, *parts])

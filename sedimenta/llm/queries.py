@@ -61,7 +61,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(table(spark, sf_dir, "documents"), order=3, backoff=0.4, least=2).withColumns({"log_score": F.round("log_score", 4), "score": F.round("score", 6)})
+    return lm_scoring.score(table(spark, sf_dir, "documents"), order=3, backoff=0.4, least=1).withColumns({"log_score": F.round("log_score", 4), "score": F.round("score", 6)})
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +108,20 @@ SELECT page_id, host, path, f.rule AS rule, coalesce(f.verdict, CASE WHEN {_hits
 """
 
 
+_LM = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS k FROM d),
+g AS (SELECT r, k, w[k] AS g1, CASE WHEN k > 1 THEN array_to_string(w[k - 1:k], ' ') END AS g2, CASE WHEN k > 2 THEN array_to_string(w[k - 2:k], ' ') END AS g3,
+  CASE WHEN k > 1 THEN w[k - 1] END AS h1, CASE WHEN k > 2 THEN array_to_string(w[k - 2:k - 1], ' ') END AS h2 FROM p),
+c1 AS (SELECT g1 AS g, count(*) AS n FROM g GROUP BY g1), c2 AS (SELECT g2 AS g, count(*) AS n FROM g GROUP BY g2), c3 AS (SELECT g3 AS g, count(*) AS n FROM g GROUP BY g3),
+s AS (SELECT r, CASE WHEN k > 2 AND c3.n >= 1 THEN ln(c3.n / b2.n) WHEN k > 1 AND c2.n >= 1 THEN ln(c2.n / b1.n) + CASE WHEN k > 2 THEN ln(0.4) ELSE 0 END
+  ELSE ln(c1.n / (SELECT sum(n) FROM c1)) + CASE WHEN k > 2 THEN 2 * ln(0.4) WHEN k > 1 THEN ln(0.4) ELSE 0 END END AS v
+  FROM g JOIN c1 ON c1.g = g1 LEFT JOIN c2 ON c2.g = g2 LEFT JOIN c3 ON c3.g = g3 LEFT JOIN c1 b1 ON b1.g = h1 LEFT JOIN c2 b2 ON b2.g = h2),
+t AS (SELECT r, sum(v) AS v FROM s GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(v, 0), 4) AS log_score, round(v / len(w), 6) AS score FROM d LEFT JOIN t USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """For the queries that SQL can express; tokenizers, XXH64 and the forest can't be, and the others are tested against brute force."""
-    return {"op5_sharding": _SHARDING, "op6_chat": _CHAT, "op7_urls": _URLS}
+    return {"op5_sharding": _SHARDING, "op6_chat": _CHAT, "op7_urls": _URLS, "op10_lm_scores": _LM}

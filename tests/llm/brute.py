@@ -90,7 +90,7 @@ def contamination(text, items, window=10):
     return len(words), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)
 
 
-def lm(texts, order=3, backoff=0.4, least=2):
+def lm(texts, order=3, backoff=0.4, least=1):
     docs = [[w for w in WORD.findall((t or "").translate(LOWER))] for t in texts]
     counts = Counter(tuple(d[k - n + 1 : k + 1]) for d in docs for n in range(1, order + 1) for k in range(n - 1, len(d)))
     total = sum(map(len, docs))

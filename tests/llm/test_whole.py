@@ -3,24 +3,11 @@
 import random
 
 import brute
-import numpy as np
 import public_tokenizers
 import pytest
-import xxhash
 
 import corpus_pipeline
-from sedimenta.llm import chat, common, lm_scoring, near_copies, simhash, token_files
-
-
-def test_lm_tells_words_apart_by_all_bits(spark):
-    """Two words whose hashes agree in their first 40 bits."""
-    hashes = np.array([xxhash.xxh3_64_intdigest(b"w%d" % k) for k in range(4_000_000)], np.uint64)
-    order = np.argsort(hashes)
-    near = np.flatnonzero(hashes[order[1:]] >> np.uint64(24) == hashes[order[:-1]] >> np.uint64(24))
-    a, b = (f"w{order[near[0] + k]}" for k in range(2))
-    texts = [f"{a} {a} x {a}", f"{b} x y"]
-    got = {r["doc_id"]: r["log_score"] for r in lm_scoring.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert all(abs(got[k] - x) < 1e-9 for k, x in enumerate(brute.lm(texts)))
+from sedimenta.llm import chat, common, near_copies, simhash, token_files
 
 
 def test_near_duplicates_of_the_pipeline(spark):
