@@ -297,12 +297,12 @@ def _union(text, bench, window=10):
 @pytest.mark.parametrize("partition_rows", [10**6, 300])
 def test_lm(docs, none, spark, order, least, partition_rows):
     """Also with contexts that outgrow a partition, documents shorter than a context, and a context that is a third of all."""
-    rows = lm_scoring.score(docs, order, 0.4, least, partition_rows=partition_rows).collect()
+    rows = lm_scoring.score(docs, order, 0.4, least, partition_rows=partition_rows, chunk_words=partition_rows // 2).collect()
     same([(r["doc_id"], round(r["log_score"], 5)) for r in rows], [(i, round(x, 5)) for (i, _), x in zip(ROWS, brute.lm([t for _, t in ROWS], order, 0.4, least), strict=True)])
     assert all((r["score"] is None) == (r["n_words"] == 0) for r in rows)
     assert lm_scoring.score(none, order, 0.4, least).count() == 0
     rnd = random.Random(1)
     texts = [None, "a", "b", "a", "zz", "a b", "b a", "a b", "A  B\nc", *(" ".join(rnd.choice("abcde" if rnd.random() < 0.8 else "vwxyz") for _ in range(rnd.randint(0, 60))) for _ in range(100)), *["hot hot " * 200] * 5]
     df = spark.createDataFrame([(f"id {k}" if k % 7 else None, t) for k, t in enumerate(texts)], "doc_id string, text string").repartition(5)
-    got = sorted(r["log_score"] for r in lm_scoring.score(df, order, 0.4, least, partition_rows=partition_rows).collect())
+    got = sorted(r["log_score"] for r in lm_scoring.score(df, order, 0.4, least, partition_rows=partition_rows, chunk_words=partition_rows // 2).collect())
     assert len(got) == len(texts) and all(abs(a - b) < 1e-6 for a, b in zip(got, sorted(brute.lm(texts, order, 0.4, least))))
