@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 
@@ -94,50 +95,62 @@ def _scramble(x: np.ndarray) -> np.ndarray:
 
 
 class Chunk:
-    """Consecutive words of a task. For each n-gram of `order` words, or end of a document: its words as numbers in `vocab` (0: the end), the row of its
-    document and its kind."""
-
-    def __init__(self, vocab: list[bytes], words: np.ndarray, rows: np.ndarray, place: np.ndarray, last: np.ndarray, carried: int, order: int):
-        """words: numbers from 1, of which the first `carried` only precede; for each its document, its place there, and whether it is the last."""
-        self.vocab, self.words, self.place, self.order = vocab, words, place, order
-        self.own = np.arange(carried, len(words))
-        tokens = self.own[place[self.own] >= order - 1]
-        ends = self.own[last[self.own] & (place[self.own] >= order - 2)]
-        self.grams = np.vstack([np.concatenate([words[tokens - (order - 1 - k)], words[ends - (order - 2 - k)] if k < order - 1 else np.zeros(len(ends), np.int64)]) for k in range(order)])
-        self.rows = np.concatenate([rows[tokens], rows[ends]])
-        self.kinds = np.concatenate([np.where(place[tokens] == order - 1, FIRST, NEXT), np.where(place[ends] == order - 2, WHOLE, END)])
-
-    def hashes(self) -> np.ndarray:
+    """Consecutive words of a task, as numbers from 1 in `vocab`; the first `carried` only precede. For each word its document (0, 1, ...), its place there, and
+    whether it is the last."""
+
+    def __init__(self, vocab: list[bytes], words: np.ndarray, docs: np.ndarray, place: np.ndarray, last: np.ndarray, carried: int, order: int):
+        self.vocab, self.words, self.docs, self.place, self.order = vocab, words, docs, place, order
+        self.own = np.arange(carried, len(words), dtype=np.int32)
+        here = place[carried:]
+        self.tokens = self.own[here >= order - 1]
+        self.ends = self.own[last[carried:] & (here >= order - 2)]
+
+    def grams(self, columns: int) -> list[np.ndarray]:
+        """For each n-gram of `order` words, then each end of a document of order - 1 words or more: the first words of it (0: the end)."""
+        n = self.order
+        return [np.concatenate([self.words[self.tokens - (n - 1 - k)], self.words[self.ends - (n - 2 - k)] if k < n - 1 else np.zeros(len(self.ends), np.int32)]) for k in range(columns)]
+
+    def documents(self) -> tuple[np.ndarray, np.ndarray]:
+        """Their documents and kinds."""
+        kinds = np.concatenate([np.where(self.place[self.tokens] == self.order - 1, FIRST, NEXT), np.where(self.place[self.ends] == self.order - 2, WHOLE, END)])
+        return np.concatenate([self.docs[self.tokens], self.docs[self.ends]]), kinds
+
+    def hashes(self, columns: list[np.ndarray]) -> np.ndarray:
         """Of the contexts."""
         of = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in [b"", *self.vocab]), np.uint64, len(self.vocab) + 1)
-        out = np.zeros(self.grams.shape[1], np.uint64)
-        for k in range(self.order - 1):
-            out = _scramble(out * np.uint64(0x9E3779B97F4A7C15) + of[self.grams[k]])
+        out = np.zeros(len(columns[0]), np.uint64)
+        for c in columns[: self.order - 1]:
+            out = _scramble(out * np.uint64(0x9E3779B97F4A7C15) + of[c])
         return out
 
-    def text(self, numbers: np.ndarray) -> str:
-        return b" ".join(self.vocab[k - 1] for k in numbers.tolist()).decode()
-
-    def runs(self, m: int) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct m-grams as rows of numbers, and their counts."""
-        ends = self.own[self.place[self.own] >= m - 1]
-        kinds, n = _distinct(np.vstack([self.words[ends - (m - 1 - k)] for k in range(m)]))[1:]
-        return kinds, n
-
-
-def _distinct(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of columns of an array: a number for each, the distinct columns as rows, and how often they stand."""
-    key = columns[0]
-    for c in columns[1:]:
-        key = np.unique(key, return_inverse=True)[1] * (int(c.max(initial=0)) + 1) + c
-    _, first, key, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-    return key, columns[:, first].T, n
+    def text(self, numbers: list[int]) -> str:
+        return b" ".join([self.vocab[k - 1] for k in numbers]).decode()
+
+    def runs(self, m: int) -> Iterator[tuple[str, int]]:
+        """The distinct m-grams and their counts."""
+        if m == 1:
+            n = np.bincount(self.words[self.own], minlength=len(self.vocab) + 1)
+            yield from ((w.decode(), k) for w, k in zip(self.vocab, n[1:].tolist(), strict=True) if k)
+        elif len(ends := self.own[self.place[self.own] >= m - 1]):
+            kinds, n = np.unique(np.vstack([self.words[ends - (m - 1 - k)] for k in range(m)]), axis=1, return_counts=True)
+            yield from ((self.text(x), k) for x, k in zip(kinds.T.tolist(), n.tolist(), strict=True))
+
+    def frequent(self, least: int) -> Iterator[tuple[str, int]]:
+        """The contexts that occur so often. Only what falls into a frequent bucket of hashes is looked at."""
+        columns = self.grams(self.order - 1)
+        if not len(columns[0]):
+            return
+        bucket = (self.hashes(columns) >> np.uint64(44)).astype(np.int64)
+        some = np.flatnonzero((np.bincount(bucket, minlength=2**20) >= least)[bucket])
+        if len(some):
+            kinds, n = np.unique(np.vstack([c[some] for c in columns]), axis=1, return_counts=True)
+            yield from ((self.text(kinds[:, k].tolist()), int(n[k])) for k in np.flatnonzero(n >= least))
 
 
 def chunks(batches: Iterator[pa.RecordBatch], order: int, size: int) -> Iterator[tuple[Chunk, list, list[int], list[int]]]:
-    """(chunk, ids, rows, numbers of words of the documents that begin in it) of batches (id, row, text)."""
+    """(chunk, ids, rows, numbers of words of its documents) of batches (id, row, text); for a document that began before, the row alone."""
     seen, parts, total, carried, ids, rows, sizes = {}, [], 0, 0, [], [], []
-    none = np.zeros(0, np.int64)
+    none = np.zeros(0, np.int32)
 
     def made() -> Chunk:
         flat = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [none, none, none, np.zeros(0, bool)]
@@ -146,15 +159,17 @@ def chunks(batches: Iterator[pa.RecordBatch], order: int, size: int) -> Iterator
     for b in batches:
         for i, row, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
             own = text.encode().lower().split()
-            ids.append(i)
-            rows.append(row)
-            sizes.append(len(own))
-            for lo in range(0, len(own), size):
+            for lo in range(0, max(1, len(own)), size):
+                ids.append(None if lo else i)
+                rows.append(row)
+                sizes.append(None if lo else len(own))
+                if not own:
+                    break
                 before = min(lo, order - 1)  # only at the start of a chunk, which a document's first part fills
                 some = own[lo - before : lo + size]
-                place = np.arange(lo - before, lo - before + len(some))
+                place = np.arange(lo - before, lo - before + len(some), dtype=np.int32)
                 carried, total = carried + before, total + len(some)
-                parts.append((np.fromiter((seen.setdefault(w, len(seen) + 1) for w in some), np.int64, len(some)), np.full(len(some), row), place, place == len(own) - 1))
+                parts.append((np.fromiter((seen.setdefault(w, len(seen) + 1) for w in some), np.int32, len(some)), np.full(len(some), len(rows) - 1, np.int32), place, place == len(own) - 1))
                 if total >= size:
                     yield made(), ids, rows, sizes
                     seen, parts, total, carried, ids, rows, sizes = {}, [], 0, 0, [], [], []
@@ -173,13 +188,9 @@ def sketch(docs: DataFrame, order: int, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, _, _, sizes in chunks(batches, order, size):
-            out = [(WORDS, None, len(chunk.own))]
-            if chunk.grams.shape[1]:
-                _, kinds, n = _distinct(chunk.grams[:-1])
-                out += [(CONTEXT, chunk.text(kinds[k]), int(n[k])) for k in np.flatnonzero(n >= max(1, LEAST_SHARE * size))]
+            out = [(WORDS, None, len(chunk.own)), *((CONTEXT, *x) for x in chunk.frequent(max(1, int(LEAST_SHARE * size))))]
             for m in range(1, order - 1):
-                if len(chunk.own):
-                    out += [(m, chunk.text(x), int(c)) for x, c in zip(*chunk.runs(m), strict=True)]
+                out += [(m, *x) for x in chunk.runs(m)]
                 if m in sizes:
                     out.append((SHORT, str(m), sizes.count(m)))
             for k in range(0, len(out), OUT_ROWS):
@@ -188,48 +199,80 @@ def sketch(docs: DataFrame, order: int, size: int) -> DataFrame:
     return docs.select("id", "row", "text").mapInArrow(run, SKETCH)
 
 
+TABLE = [T.StructField("rows", T.ArrayType(T.LongType())), T.StructField("sizes", T.ArrayType(T.LongType()))]
+
+
+def _blocks_schema(*first: str, id_type: T.DataType) -> T.StructType:
+    return T.StructType([*(T.StructField(x, T.LongType()) for x in first), T.StructField("data", T.BinaryType()), T.StructField("ids", T.ArrayType(id_type)), *TABLE])
+
+
+def _framed(parts: list[bytes]) -> bytes:
+    return b"".join(len(x).to_bytes(4, "little") + x for x in parts)
+
+
+def _unframed(data: bytes) -> list[bytes]:
+    parts, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 4], "little")
+        parts.append(data[at + 4 : at + 4 + n])
+        at += 4 + n
+    return parts
+
+
 def blocks(docs: DataFrame, order: int, partitions: int, hot: list[str], size: int) -> DataFrame:
-    """One row for each partition into which n-grams of a chunk fall, without those of hot contexts; and one for each chunk with its documents, but for
-    those that are shorter than a context and not empty."""
-    schema = T.StructType([T.StructField("part", T.LongType()), T.StructField("base", T.LongType()), T.StructField("data", T.BinaryType()), T.StructField("ids", T.ArrayType(docs.schema["id"].dataType)), T.StructField("rows", T.ArrayType(T.LongType())), T.StructField("sizes", T.ArrayType(T.LongType()))])
-
-    def encoded(chunk: Chunk, at: np.ndarray, base: int) -> bytes:
-        grams = chunk.grams[:, at]
-        used = np.unique(grams)
-        used = used[used > 0]
-        words = zlib.compress(b"\n".join(chunk.vocab[k - 1] for k in used.tolist()), 1)
-        parts = [words, *(pack_small(np.where(c > 0, np.searchsorted(used, c) + 1, 0)) for c in grams), pack_small((chunk.rows[at] - base) * 4 + chunk.kinds[at])]
-        return b"".join(len(x).to_bytes(4, "little") + x for x in parts)
+    """One row for each partition into which n-grams of a chunk fall, without those of hot contexts; and one for each chunk with the table of
+    its documents. Those shorter than a context and not empty have no size there: they are not this table's."""
+    schema = _blocks_schema("part", "chunk", id_type=docs.schema["id"].dataType)
+
+    def encoded(vocab: list[bytes], grams: list[np.ndarray], docs: np.ndarray) -> bytes:
+        if len(docs) * 8 < len(vocab):
+            used = np.unique(np.concatenate(grams))
+            used = used[used > 0]
+            grams = [np.where(c > 0, np.searchsorted(used, c) + 1, 0) for c in grams]
+        else:
+            there = np.zeros(len(vocab) + 1, bool)
+            for c in grams:
+                there[c] = True
+            there[0] = False
+            used, number = np.flatnonzero(there), np.cumsum(there) * there
+            grams = [number[c] for c in grams]
+        key = grams[0].astype(np.int64)
+        if len(grams) > 2:
+            key = key * (len(used) + 1) + grams[1]
+        by = np.argsort(key)  # alike beside alike compresses better
+        return _framed([zlib.compress(b"\n".join([vocab[k - 1] for k in used.tolist()]), 1), *(pack_small(c[by]) for c in grams), pack_small(docs[by])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, special = to_arrow_schema(schema), set(hot)
-        marks = _marks(hot)
+        arrow, special, marks = to_arrow_schema(schema), set(hot), _marks(hot)
+        batch = lambda out: pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
+        made = 0
         for chunk, ids, rows, sizes in chunks(batches, order, size):
-            kept = [k for k, n in enumerate(sizes) if not 0 < n < order - 1]
-            out = [(-1 - rows[kept[0]], 0, b"", *([x[k] for k in kept] for x in (ids, rows, sizes)))] if kept else []
-            h = chunk.hashes()
-            part = ((h >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
-            key, kinds, _ = _distinct(chunk.grams[:-1]) if len(h) else (part, chunk.grams[:-1].T, part)
-            if hot and len(h):
-                other = np.ones(len(kinds), bool)
-                for k in np.unique(key[np.isin(h, marks)]).tolist():
-                    other[k] = chunk.text(kinds[k]) not in special
-                some = np.flatnonzero(other[key])
+            name, made = (TaskContext.get().partitionId() << 33) + made, made + 1
+            out = [(-1 - name, name, None, ids, rows, [None if n is None or 0 < n < order - 1 else n for n in sizes])]
+            grams, (docs, kinds) = chunk.grams(order), chunk.documents()
+            h = chunk.hashes(grams)
+            part = ((h >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int32)
+            if hot:
+                own = np.ones(len(h), bool)
+                at = np.flatnonzero(np.isin(h, marks))  # almost always hot ones, and then few contexts
+                if len(at):
+                    contexts, which = np.unique(np.vstack([c[at] for c in grams[:-1]]), axis=1, return_inverse=True)
+                    own[at] = np.array([chunk.text(x) not in special for x in contexts.T.tolist()])[which.ravel()]
+                some = np.flatnonzero(own)
+                some = some[np.argsort(part[some], kind="stable")]
             else:
-                some = np.arange(len(h))
-            some = some[np.argsort(part[some] * np.int64(len(kinds) + 1) + key[some], kind="stable")]
+                some = np.argsort(part, kind="stable")
             edge = np.flatnonzero(np.concatenate([[True], np.diff(part[some]) != 0, [True]])) if len(some) else np.zeros(1, np.int64)
             for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
                 at = some[lo:hi]
-                base = int(chunk.rows[at].min())
-                out.append((int(part[at[0]]), base, encoded(chunk, at, base), None, None, None))
+                out.append((int(part[at[0]]), name, encoded(chunk.vocab, [c[at] for c in grams], docs[at] * np.int64(4) + kinds[at]), None, None, None))
                 if len(out) >= 256:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
+                    yield batch(out)
                     out = []
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
+                yield batch(out)
 
     return docs.select("id", "row", "text").mapInArrow(run, schema)
 
@@ -244,40 +287,75 @@ def _marks(contexts: list[str]) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _decoded(block: bytes, seen: dict[bytes, int], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams of a block, in numbers of `seen`, and the documents with the kinds."""
-    parts, at = [], 0
-    while at < len(block):
-        n = int.from_bytes(block[at : at + 4], "little")
-        parts.append(block[at + 4 : at + 4 + n])
-        at += 4 + n
-    words = zlib.decompress(parts[0]).split(b"\n")
-    number = np.fromiter((0, *(seen.setdefault(w, len(seen) + 1) for w in words)), np.int64, len(words) + 1)
-    return np.vstack([number[unpack_small(x)] for x in parts[1 : 1 + order]]), unpack_small(parts[1 + order])
+def _tables(grams: list[np.ndarray], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often the n-gram and the context of each entry stand among all; `words`: a bound of the numbers."""
+    context, rest = grams[0].astype(np.int64), grams[1:]
+    for c in rest[:-1]:
+        if (int(context.max(initial=0)) + 1) * (words + 1) ** 2 >= 2**63:
+            context = np.unique(context, return_inverse=True)[1]
+        context = context * (words + 1) + c
+    if (int(context.max(initial=0)) + 1) * (words + 1) >= 2**63:
+        context = np.unique(context, return_inverse=True)[1]
+    key = context * (words + 1) + rest[-1]
+    by = np.argsort(key)
+    key = key[by]
+
+    def counts(k: np.ndarray) -> np.ndarray:
+        head = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        n = np.diff(np.append(head, len(k)))
+        out = np.empty(len(k), np.int64)
+        out[by] = np.repeat(n, n)
+        return out
+
+    return counts(key), counts(key // (words + 1))
 
 
 def joined(made: DataFrame, order: int, words: int, id_type: T.DataType) -> DataFrame:
-    """The count table of each partition, joined to its n-grams: (row, value) summed by document, and (row, id, n_words) of the documents."""
-    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", id_type), T.StructField("n_words", T.LongType()), T.StructField("value", T.DoubleType())])
+    """The count table of each partition, joined to its n-grams, and summed by document: (chunk, documents with their sums, or the table of its documents)."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
-            ids = pa.chunked_array([pa.concat_arrays([x.flatten() for x in table.column("ids").chunks])])
-            rows, sizes = (np.concatenate([x.flatten().to_numpy() for x in table.column(c).chunks]) for c in ("rows", "sizes"))
-            return pa.table({"row": rows, "id": ids, "n_words": sizes, "value": np.zeros(len(rows))})
+            return table.drop_columns(["part"])
         seen: dict[bytes, int] = {}
-        found = [_decoded(x, seen, order) for x in table.column("data").to_pylist()]
-        grams, marks = np.concatenate([x for x, _ in found], axis=1), [x for _, x in found]
-        rows = np.concatenate([b + (x >> 2) for b, x in zip(table.column("base").to_pylist(), marks, strict=True)])
+        columns, marks = [[] for _ in range(order)], []
+        for block in table.column("data").to_pylist():
+            vocab, *parts, docs = _unframed(block)
+            own = zlib.decompress(vocab).split(b"\n")
+            number = np.fromiter((0, *[seen.setdefault(w, len(seen) + 1) for w in own]), np.int32, len(own) + 1)
+            for c, x in zip(columns, parts, strict=True):
+                c.append(number[unpack_small(x)])
+            marks.append(unpack_small(docs))
         kind = np.concatenate(marks) & 3
-        context, _, contexts = _distinct(grams[:-1])
-        _, gram, n = np.unique(context * np.int64(len(seen) + 1) + grams[-1], return_inverse=True, return_counts=True)
-        seen_log, context_log = np.log(n)[gram], np.log(contexts)[context]
-        value = np.select([kind == NEXT, kind == FIRST, kind == WHOLE], [seen_log - context_log, seen_log - math.log(words), context_log - math.log(words)], 0.0)
-        rows, which = np.unique(rows, return_inverse=True)
-        return pa.table({"row": rows, "id": pa.nulls(len(rows), table.schema.field("ids").type.value_type), "n_words": pa.nulls(len(rows), pa.int64()), "value": np.bincount(which, value, len(rows))})
+        gram, context = _tables([np.concatenate(c) for c in columns], len(seen))
+        gram, context = np.log(gram), np.log(context)
+        value = np.select([kind == NEXT, kind == FIRST, kind == WHOLE], [gram - context, gram - math.log(words), context - math.log(words)], 0.0)
+        out, at = [], 0
+        for x in marks:
+            sums = np.bincount(x >> 2, value[at : at + len(x)])
+            docs = np.flatnonzero(sums)
+            out.append(_framed([pack_small(docs), zlib.compress(sums[docs].tobytes(), 1)]))
+            at += len(x)
+        n = len(out)
+        return pa.table({"chunk": table.column("chunk"), "data": pa.array(out, pa.binary()), **{c: pa.nulls(n, table.schema.field(c).type) for c in ("ids", "rows", "sizes")}})
+
+    return made.groupBy("part").applyInArrow(run, _blocks_schema("chunk", id_type=id_type))
+
+
+def by_document(sums: DataFrame, id_type: T.DataType) -> DataFrame:
+    """(row, value) of the documents of each chunk, with id and n_words of those that begin in it."""
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", id_type), T.StructField("n_words", T.LongType()), T.StructField("value", T.DoubleType())])
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, rows, sizes = (next(x for x in table.column(c) if x.is_valid).values for c in ("ids", "rows", "sizes"))  # of the one row with the table
+        value = np.zeros(len(rows))
+        for data in table.column("data").to_pylist():
+            if data is not None:
+                docs, own = _unframed(data)
+                value[unpack_small(docs)] += np.frombuffer(zlib.decompress(own))
+        kept = pc.or_(pc.is_valid(sizes), pa.array(value != 0))
+        return pa.table({"row": rows, "id": ids, "n_words": sizes, "value": value}).filter(kept)
 
-    return made.groupBy("part").applyInArrow(run, schema)
+    return sums.groupBy("chunk").applyInArrow(run, schema)
 
 
 def counted(rows: DataFrame, n: int, total: int, hot: list[str], partition_rows: int, times: str = "times") -> DataFrame:
@@ -322,7 +400,7 @@ def score(df: DataFrame, order: int = 3, backoff: float = 0.4, least: int = 1, i
     split = docs.select("row", "id", words_of(text).alias("words"))
     if least == 1:
         made = blocks(docs, order, max(1, math.ceil(words / partition_rows)), hot, chunk_words)
-        rows = joined(made, order, words, docs.schema["id"].dataType)
+        rows = by_document(joined(made, order, words, docs.schema["id"].dataType), docs.schema["id"].dataType)
         if hot:
             some = exploded(split, order).where(_context(order).isin(hot)).select("row", "gram", "kind")
             rows = rows.unionByName(_valued(by_table(some, order, F.count(F.lit(1))), words).select("row", "value"), allowMissingColumns=True)
