@@ -11,6 +11,7 @@ pays: a context that would outgrow one task is counted with partial aggregates,
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import string
 import zlib
@@ -82,10 +83,10 @@ def pack_small(values: np.ndarray) -> bytes:
 
 def unpack_small(data: bytes) -> np.ndarray:
     n, width = int.from_bytes(data[:8], "little"), data[8]
-    out = np.zeros((n, 8), np.uint8)
-    if n and width:
-        out[:, :width] = np.frombuffer(zlib.decompress(data[9:]), np.uint8).reshape(width, n).T
-    return out.view("<i8").ravel()
+    out = np.zeros(n, np.int32 if width < 4 else np.int64)
+    for k, plane in enumerate(np.frombuffer(zlib.decompress(data[9:]), np.uint8).reshape(width, n) if n and width else ()):
+        out |= plane.astype(out.dtype) << (8 * k)
+    return out
 
 
 def _scramble(x: np.ndarray) -> np.ndarray:
@@ -127,14 +128,17 @@ class Chunk:
         return b" ".join([self.vocab[k - 1] for k in numbers]).decode()
 
     def runs(self, m: int) -> Iterator[tuple[str, int]]:
-        """The distinct m-grams and their counts."""
-        if m == 1:
-            n = np.bincount(self.words[self.own], minlength=len(self.vocab) + 1)
-            yield from ((w.decode(), k) for w, k in zip(self.vocab, n[1:].tolist(), strict=True) if k)
-        elif len(ends := self.own[self.place[self.own] >= m - 1]):
+        """The distinct m-grams and their counts; of words see `counts`."""
+        if len(ends := self.own[self.place[self.own] >= m - 1]):
             kinds, n = np.unique(np.vstack([self.words[ends - (m - 1 - k)] for k in range(m)]), axis=1, return_counts=True)
             yield from ((self.text(x), k) for x, k in zip(kinds.T.tolist(), n.tolist(), strict=True))
 
+    def counts(self) -> pa.RecordBatch:
+        """How often each word stands here, as rows of the sketch."""
+        n = np.bincount(self.words[self.own], minlength=len(self.vocab) + 1)[1:]
+        rows = pa.RecordBatch.from_arrays([pa.array(np.ones(len(n), np.int64)), pa.array(self.vocab, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], SKETCH.names)
+        return rows.filter(pa.array(n > 0))
+
     def frequent(self, least: int) -> Iterator[tuple[str, int]]:
         """The contexts that occur so often. Only what falls into a frequent bucket of hashes is looked at."""
         columns = self.grams(self.order - 1)
@@ -147,14 +151,21 @@ class Chunk:
             yield from ((self.text(kinds[:, k].tolist()), int(n[k])) for k in np.flatnonzero(n >= least))
 
 
+def _dense(seen: dict[bytes, int], total: int) -> np.ndarray:
+    """Numbers 1, 2, ... for the places at which words were first seen."""
+    out = np.zeros(total, np.int32)
+    out[np.fromiter(seen.values(), np.int64, len(seen))] = np.arange(1, len(seen) + 1)
+    return out
+
+
 def chunks(batches: Iterator[pa.RecordBatch], order: int, size: int) -> Iterator[tuple[Chunk, list, list[int], list[int]]]:
     """(chunk, ids, rows, numbers of words of its documents) of batches (id, row, text); for a document that began before, the row alone."""
     seen, parts, total, carried, ids, rows, sizes = {}, [], 0, 0, [], [], []
     none = np.zeros(0, np.int32)
 
     def made() -> Chunk:
-        flat = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [none, none, none, np.zeros(0, bool)]
-        return Chunk(list(seen), *flat, carried, order)
+        words, *flat = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [none, none, none, np.zeros(0, bool)]
+        return Chunk(list(seen), _dense(seen, total)[words], *flat, carried, order)
 
     for b in batches:
         for i, row, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -169,7 +180,7 @@ def chunks(batches: Iterator[pa.RecordBatch], order: int, size: int) -> Iterator
                 some = own[lo - before : lo + size]
                 place = np.arange(lo - before, lo - before + len(some), dtype=np.int32)
                 carried, total = carried + before, total + len(some)
-                parts.append((np.fromiter((seen.setdefault(w, len(seen) + 1) for w in some), np.int32, len(some)), np.full(len(some), len(rows) - 1, np.int32), place, place == len(own) - 1))
+                parts.append((np.fromiter(map(seen.setdefault, some, itertools.count(total - len(some))), np.int32, len(some)), np.full(len(some), len(rows) - 1, np.int32), place, place == len(own) - 1))
                 if total >= size:
                     yield made(), ids, rows, sizes
                     seen, parts, total, carried, ids, rows, sizes = {}, [], 0, 0, [], [], []
@@ -189,8 +200,10 @@ def sketch(docs: DataFrame, order: int, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, _, _, sizes in chunks(batches, order, size):
             out = [(WORDS, None, len(chunk.own)), *((CONTEXT, *x) for x in chunk.frequent(max(1, int(LEAST_SHARE * size))))]
+            if order > 2:
+                yield chunk.counts()
             for m in range(1, order - 1):
-                out += [(m, *x) for x in chunk.runs(m)]
+                out += [(m, *x) for x in chunk.runs(m)] if m > 1 else []
                 if m in sizes:
                     out.append((SHORT, str(m), sizes.count(m)))
             for k in range(0, len(out), OUT_ROWS):
@@ -225,7 +238,7 @@ def blocks(docs: DataFrame, order: int, partitions: int, hot: list[str], size: i
     schema = _blocks_schema("part", "chunk", id_type=docs.schema["id"].dataType)
 
     def encoded(vocab: list[bytes], grams: list[np.ndarray], docs: np.ndarray) -> bytes:
-        if len(docs) * 8 < len(vocab):
+        if len(docs) * 16 < len(vocab):
             used = np.unique(np.concatenate(grams))
             used = used[used > 0]
             grams = [np.where(c > 0, np.searchsorted(used, c) + 1, 0) for c in grams]
@@ -253,7 +266,7 @@ def blocks(docs: DataFrame, order: int, partitions: int, hot: list[str], size: i
             out = [(-1 - name, name, None, ids, rows, [None if n is None or 0 < n < order - 1 else n for n in sizes])]
             grams, (docs, kinds) = chunk.grams(order), chunk.documents()
             h = chunk.hashes(grams)
-            part = ((h >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int32)
+            part = ((h >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.uint16 if partitions <= 2**16 else np.int64)  # short ones sort fast
             if hot:
                 own = np.ones(len(h), bool)
                 at = np.flatnonzero(np.isin(h, marks))  # almost always hot ones, and then few contexts
@@ -264,7 +277,7 @@ def blocks(docs: DataFrame, order: int, partitions: int, hot: list[str], size: i
                 some = some[np.argsort(part[some], kind="stable")]
             else:
                 some = np.argsort(part, kind="stable")
-            edge = np.flatnonzero(np.concatenate([[True], np.diff(part[some]) != 0, [True]])) if len(some) else np.zeros(1, np.int64)
+            edge = np.flatnonzero(np.concatenate([[True], part[some[1:]] != part[some[:-1]], [True]])) if len(some) else np.zeros(1, np.int64)
             for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
                 at = some[lo:hi]
                 out.append((int(part[at[0]]), name, encoded(chunk.vocab, [c[at] for c in grams], docs[at] * np.int64(4) + kinds[at]), None, None, None))
@@ -317,16 +330,18 @@ def joined(made: DataFrame, order: int, words: int, id_type: T.DataType) -> Data
         if key[0].as_py() < 0:
             return table.drop_columns(["part"])
         seen: dict[bytes, int] = {}
-        columns, marks = [[] for _ in range(order)], []
+        columns, marks, total = [[] for _ in range(order)], [], 1
         for block in table.column("data").to_pylist():
             vocab, *parts, docs = _unframed(block)
             own = zlib.decompress(vocab).split(b"\n")
-            number = np.fromiter((0, *[seen.setdefault(w, len(seen) + 1) for w in own]), np.int32, len(own) + 1)
+            number = np.concatenate([np.zeros(1, np.int32), np.fromiter(map(seen.setdefault, own, itertools.count(total)), np.int32, len(own))])
+            total += len(own)
             for c, x in zip(columns, parts, strict=True):
                 c.append(number[unpack_small(x)])
             marks.append(unpack_small(docs))
         kind = np.concatenate(marks) & 3
-        gram, context = _tables([np.concatenate(c) for c in columns], len(seen))
+        dense = _dense(seen, total)
+        gram, context = _tables([dense[np.concatenate(c)] for c in columns], len(seen))
         gram, context = np.log(gram), np.log(context)
         value = np.select([kind == NEXT, kind == FIRST, kind == WHOLE], [gram - context, gram - math.log(words), context - math.log(words)], 0.0)
         out, at = [], 0
