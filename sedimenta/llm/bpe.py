@@ -241,7 +241,7 @@ def merges(library: Tokenizer, spec: dict, kind: str) -> Callable[[str], list[in
         with contextlib.suppress(UnicodeDecodeError):
             strings.append(bytes(map(BYTES.__getitem__, t.removesuffix(suffix) if suffix else t)).decode())
     n = len(strings)
-    probes = strings[::5] + [strings[k] + strings[(k * 7919 + 13) % n] for k in range(0, n, 5)]
+    probes = strings + [strings[k] + strings[(k * 7919 + 13) % n] for k in range(n)]
     return by_ranks if all(not p or by_ranks(p) == by_library(p) for p in probes) else by_library
 
 

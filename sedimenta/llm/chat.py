@@ -164,7 +164,7 @@ def canonical(df: DataFrame, key: str = "conv_id", layouts: tuple[Layout, ...] =
 def formatted(turns: DataFrame, trained: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """(key, formatted, loss): one row a conversation. Turns stand in the order of turn, then role, then text (null turns first); repeated rows are turns
     of their own, and rows with a null key are one conversation. `loss` lists what is trained on, the texts of the `trained` roles, as spans of the formatted text
-    (start, end) in code points, with the index of the turn and the place inside it."""
+    (start, end) in code points, with the index of the turn."""
     from pyspark.sql import Window
 
     role, text = escaped(F.col("role")), escaped(F.col("text"))  # both null where a conversation has no turns: nothing is written
@@ -180,16 +180,16 @@ def formatted(turns: DataFrame, trained: tuple[str, ...] = ("assistant",)) -> Da
         ).alias("t"),
     )
     made = rows.groupBy("key").agg(F.array_sort(F.collect_list("t")).alias("t"))
-    span = lambda t: F.struct((t["i"] - 1).alias("turn"), (t["at"] + t["inside"]).alias("start"), (t["at"] + t["inside"] + t["long"]).alias("end"), t["inside"].alias("inside"))
+    span = lambda t: F.struct((t["i"] - 1).alias("turn"), (t["at"] + t["inside"]).alias("start"), (t["at"] + t["inside"] + t["long"]).alias("end"))
     return made.select("key", F.array_join(F.transform("t", lambda t: t["piece"]), "").alias("formatted"), F.transform(F.filter("t", lambda t: t["trained"]), span).alias("loss"))
 
 
 def read_back(made: DataFrame) -> DataFrame:
-    """(key, formatted, turns, learnt): the turns (role, text) and the trained texts, from the formatted text and its loss mask alone."""
+    """(key, formatted, turns, learnt): the turns (role, text) and the trained texts, from the formatted text and the offsets of its loss mask alone."""
     pieces = F.split("formatted", r"<\|turn\|>")  # the first is empty: the text begins with a turn
     made = made.select("key", "formatted", "loss", F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))).alias("pieces"))
     turn = lambda p: F.struct(unescaped(F.substring_index(p, TEXT, 1)).alias("role"), unescaped(F.substring_index(F.substring_index(p, TEXT, -1), END.strip(), 1)).alias("text"))
-    learnt = lambda s: unescaped(F.element_at("pieces", s["turn"] + 1).substr(s["inside"] - len(TURN) + 1, (s["end"] - s["start"]).cast("int")))
+    learnt = lambda s: unescaped(F.col("formatted").substr((s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
     return made.select("key", "formatted", F.transform("pieces", turn).alias("turns"), F.transform("loss", learnt).alias("learnt"))
 
 

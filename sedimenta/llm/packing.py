@@ -111,7 +111,7 @@ def pieces(df: DataFrame, tokenizer: str, longest: int, end_id: int = 0, id_col:
     spec = bpe.load(df.sparkSession, tokenizer)
     rows = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     longs = ["piece", "start", "length", "ids_crc32", "part", "part_rank"]
-    schema = T.StructType([T.StructField(id_col, rows.schema["id"].dataType), *(T.StructField(x, T.LongType()) for x in longs)])
+    schema = T.StructType([T.StructField(id_col, rows.schema["id"].dataType), *(T.StructField(x, T.IntegerType() if x == "piece" else T.LongType()) for x in longs)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end, part = bpe.encoder(spec), end_id.to_bytes(4, "little"), TaskContext.get().partitionId()
@@ -128,7 +128,7 @@ def pieces(df: DataFrame, tokenizer: str, longest: int, end_id: int = 0, id_col:
                     seen[size] += 1
                     at, piece = at + size, piece + 1
             for k in range(0, len(out), OUT_ROWS):
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[k : k + OUT_ROWS])), *(pa.array(x, pa.int64()) for x in zip(*out[k : k + OUT_ROWS], strict=True))], [id_col, *longs])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[k : k + OUT_ROWS])), *(pa.array(x, pa.int32() if not j else pa.int64()) for j, x in enumerate(zip(*out[k : k + OUT_ROWS], strict=True)))], [id_col, *longs])
 
     return rows.mapInArrow(cut, schema)
 

@@ -1,9 +1,10 @@
 """Shards of bounded size by extendible hashing.
 
-The directory is indexed by the leading bits of a hash of the document's key. A histogram of bytes by prefix is summed first; a prefix that holds more
-than the limit splits on another bit, and only such prefixes do. All of it is aggregation and joins of small rows: texts are measured in the
-scan and never shuffled, and the directory stays a table. Prefixes deeper than the histogram are counted again, for the oversized ones only.
-Rows that no bit tells apart (repeated keys) fill overflow pages, in the order of a running sum that is taken by task."""
+The directory is indexed by the leading bits of a hash of the document's key; each entry names a bucket, which is a shorter or equally long prefix. It comes
+from a histogram of bytes by prefix: a bucket that holds more than the limit splits on another bit, and only such buckets do. Entries that are
+too large at the last bit of the directory get a directory of their own with more bits, so its size follows the number of shards, not the deepest of
+them. All of it is aggregation and joins of small rows: texts are measured in the scan, and a row finds its bucket by one look at the
+directory. A bucket with one key alone can't split; it fills overflow pages, in the order of a running sum that is taken by task."""
 
 from __future__ import annotations
 
@@ -16,7 +17,7 @@ from sedimenta.llm.common import checkpointed, running_base, stored
 
 #: Bits of the hash in use.
 BITS = 60
-#: Levels that the histogram has below the expected depth, and that each further round adds.
+#: Bits that the directory has beyond the expected depth; a further directory adds twice as many.
 SPARE = 4
 
 
@@ -25,8 +26,51 @@ def key_hash(key: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def _prefix(depth: Column | int, at: str = "h", bits: int = BITS) -> Column:
-    return F.expr(f"shiftright({at}, {bits} - {depth})") if isinstance(depth, int) else F.call_function("shiftright", F.col(at), F.lit(bits) - depth)
+def _prefix(depth: int) -> Column:
+    return F.shiftright("h", BITS - depth)
+
+
+def directory(sizes: DataFrame, limit: int) -> list[tuple[int, DataFrame]]:
+    """sizes (h, n_bytes) -> (bits, entries) of each directory, the first for all rows, the next for those whose entry was too large there. An entry: the
+    prefix p, and the depth, bytes and docs of its bucket. Prefixes without rows have none."""
+    total = sizes.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    start, bits, out = 0, min(BITS, max(1, math.ceil(math.log2(max(2.0, total / limit))) + SPARE)), []
+    while True:
+        counts = [F.sum("bytes").alias("bytes"), F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high")]
+        histogram = sizes.select(_prefix(bits).alias("p"), F.col("n_bytes").alias("bytes"), F.lit(1).alias("docs"), F.col("h").alias("low"), F.col("h").alias("high")).groupBy("p").agg(*counts)
+        histogram = checkpointed(histogram)
+        up = histogram.withColumn("d", F.explode(F.sequence(F.lit(start), F.lit(bits)))).withColumn("q", F.call_function("shiftright", F.col("p"), F.lit(bits) - F.col("d")))
+        fits = (F.col("bytes") <= limit) | (F.col("low") == F.col("high"))
+        buckets = up.groupBy("d", "q").agg(*counts).where(fits).select("d", "q", F.struct(F.col("d").alias("depth"), "bytes", "docs").alias("bucket"))
+        entries = up.join(buckets, ["d", "q"], "left").groupBy("p").agg(F.min("bucket").alias("bucket"))  # the shortest prefix that fits
+        entries = checkpointed(entries)
+        out.append((bits, entries.where("bucket is not null").select("p", "bucket")))
+        over = entries.where("bucket is null").select("p")
+        if not over.take(1):
+            return out
+        sizes = sizes.withColumn("p", _prefix(bits)).join(over, "p", "left_semi").drop("p")
+        start, bits = bits + 1, min(BITS, bits + 2 * SPARE)
+
+
+def _placed(rows: DataFrame, limit: int) -> DataFrame:
+    """rows (x, n_bytes, h) with shard, depth, page, shard_bytes and shard_docs."""
+    sizes = stored(rows.select("h", "n_bytes"), "sizes")  # two numbers a document; text is not measured again
+    levels, found = directory(sizes, limit), rows
+    for k, (bits, entries) in enumerate(levels):
+        found = found.withColumn("p", _prefix(bits)).join(entries.withColumnRenamed("bucket", f"b{k}"), "p", "left").drop("p")
+    bucket = F.coalesce(*(F.col(f"b{k}") for k in range(len(levels))))
+    found = found.select("x", "n_bytes", "h", bucket.alias("bucket")).select("x", "n_bytes", "h", F.col("bucket.depth").cast("long").alias("depth"), F.col("bucket.bytes").alias("shard_bytes"), F.col("bucket.docs").alias("shard_docs"))
+    found = found.withColumn("shard", F.substring(F.lpad(F.bin("h"), BITS, "0"), F.lit(1), F.col("depth").cast("int"))).drop("h")
+    columns = ["x", "n_bytes", "shard", "depth", "page", "shard_bytes", "shard_docs"]
+    paged = (F.col("shard_bytes") > limit) & (F.col("shard_docs") > 1)
+    within = found.where(~paged).withColumn("page", F.lit(0).cast("long")).select(columns)
+    if not any(e.where((F.col("bucket.bytes") > limit) & (F.col("bucket.docs") > 1)).take(1) for _, e in levels):
+        return within
+    return within.union(_pages(found.where(paged), limit).select(columns))
+
+
+def _measured(df: DataFrame, x: Column, id_col: str, text_col: str) -> DataFrame:
+    return df.select(x.alias("x"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("n_bytes"), key_hash(F.col(id_col)).alias("h"))
 
 
 def assign(df: DataFrame, limit: int = 8 * 2**20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -35,43 +79,10 @@ def assign(df: DataFrame, limit: int = 8 * 2**20, id_col: str = "doc_id", text_c
 
     A null text has 0 bytes. A null id hashes like an empty one. Every shard page holds at most `limit` bytes, unless one document alone has more.
     Rows that repeat an id share a shard while they fit it and fill pages of it beyond. An empty table gives an empty result. Other columns are not read."""
-    docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("n_bytes"), key_hash(F.col(id_col)).alias("h"))
-    docs = stored(docs, "sizes")  # three numbers a document; text is not read again
-    total = docs.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    start, depth = 0, min(BITS, max(1, math.ceil(math.log2(max(2.0, total / limit))) + SPARE))
-    leaves, left = None, docs
-    while True:
-        histogram = left.groupBy(_prefix(depth).alias("p")).agg(F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("docs"))
-        level = F.explode(F.sequence(F.lit(start), F.lit(depth))).alias("d")
-        nodes = histogram.select("bytes", "docs", "p", level).groupBy("d", F.call_function("shiftright", F.col("p"), F.lit(depth) - F.col("d")).alias("q")).agg(F.sum("bytes").alias("bytes"), F.sum("docs").alias("docs"))
-        nodes = checkpointed(nodes)
-        above = nodes.select((F.col("d") + 1).alias("d"), F.col("q").alias("up"), F.col("bytes").alias("up_bytes"))
-        joined = nodes.withColumn("up", F.call_function("shiftright", F.col("q"), F.lit(1))).join(above, ["d", "up"], "left")
-        # A leaf fits and its parent doesn't; above the first level of a later round all was too large. At the last bit what is left is a leaf, with pages.
-        fits = F.col("bytes") <= limit if depth < BITS else (F.col("bytes") <= limit) | (F.col("d") == BITS)
-        new = joined.where(fits & (F.col("up_bytes").isNull() | (F.col("up_bytes") > limit)) & ((F.col("d") > start) | F.lit(start == 0))).select("d", "q", "bytes", "docs")
-        leaves = new if leaves is None else leaves.union(new)
-        over = nodes.where((F.col("d") == depth) & (F.col("bytes") > limit))
-        if depth == BITS or not over.take(1):
-            break
-        left = left.withColumn("p", _prefix(depth)).join(over.select(F.col("q").alias("p")), "p", "left_semi").drop("p")
-        start, depth = depth, min(BITS, depth + 2 * SPARE)
-    leaves = checkpointed(leaves)
-    depths = [r[0] for r in leaves.select("d").distinct().collect()]  # at most 61
-    # A document looks up its leaf by the prefix at each depth there is: one equi-join, on rows of a few numbers.
-    tries = F.explode(F.array(*(F.struct(F.lit(d).alias("d"), _prefix(d).alias("q")) for d in depths))) if depths else F.explode(F.array(F.struct(F.lit(0).alias("d"), F.lit(0).cast("long").alias("q"))))
-    found = docs.select("id", "n_bytes", "h", tries.alias("x")).select("id", "n_bytes", "h", "x.d", "x.q").join(leaves, ["d", "q"])
-    name = F.when(F.col("d") == 0, F.lit("")).otherwise(F.substring(F.lpad(F.bin("q"), BITS, "0"), F.lit(BITS + 1) - F.col("d"), F.col("d")))
-    found = found.select(F.col("id").alias(id_col), "n_bytes", name.alias("shard"), F.col("d").cast("long").alias("depth"), F.col("bytes").alias("shard_bytes"), F.col("docs").alias("shard_docs"))
-    within = found.where((F.col("shard_bytes") <= limit) | (F.col("shard_docs") == 1)).withColumn("page", F.lit(0).cast("long"))
-    beyond = found.where((F.col("shard_bytes") > limit) & (F.col("shard_docs") > 1))
-    columns = [id_col, "n_bytes", "shard", "depth", "page", "shard_bytes", "shard_docs"]
-    if not leaves.where((F.col("bytes") > limit) & (F.col("docs") > 1)).take(1):
-        return within.select(columns)
-    return within.select(columns).union(_pages(beyond, limit, id_col).select(columns))
-
-
-def _pages(rows: DataFrame, limit: int, id_col: str) -> DataFrame:
+    return _placed(_measured(df, F.col(id_col), id_col, text_col), limit).withColumnRenamed("x", id_col)
+
+
+def _pages(rows: DataFrame, limit: int) -> DataFrame:
     """Overflow pages of shards that no bit splits: every task fills pages of its own from its rows, so a shard of any number of rows is no single task's.
     A page closes before the document that would start beyond half the limit, so a page holds at most the limit or one larger document."""
     made = stored(rows.withColumns({"part": F.spark_partition_id().cast("long"), "row": F.monotonically_increasing_id()}), "overflow")
@@ -86,10 +97,13 @@ def _pages(rows: DataFrame, limit: int, id_col: str) -> DataFrame:
     numbered = pages.withColumn("i", F.row_number().over(Window.partitionBy("shard", "part").orderBy("k")) - 1)
     base = running_base(numbered.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n")), "shard", "part", "n", "base")
     named = numbered.join(base, ["shard", "part"]).select("shard", "part", "k", (F.col("base") + F.col("i")).cast("long").alias("page"), F.col("bytes").alias("page_bytes"), F.col("docs").alias("page_docs"))
-    return local.join(named, ["shard", "part", "k"]).select(id_col, "n_bytes", "shard", "depth", "page", F.col("page_bytes").alias("shard_bytes"), F.col("page_docs").alias("shard_docs"))
+    return local.join(named, ["shard", "part", "k"]).select("x", "n_bytes", "shard", "depth", "page", F.col("page_bytes").alias("shard_bytes"), F.col("page_docs").alias("shard_docs"))
 
 
 def write_shards(df: DataFrame, path: str, limit: int = 8 * 2**20, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """df's columns as one Parquet folder a shard page. Rows meet their shard by the id; ids have to be unique and not null."""
-    where = assign(df, limit, id_col, text_col).select(F.col(id_col).alias("_shard_of"), F.concat_ws(".", F.concat(F.lit("s"), F.col("shard")), F.col("page").cast("string")).alias("_shard"))
-    df.join(where, df[id_col] == where["_shard_of"]).drop("_shard_of").repartition("_shard").write.partitionBy("_shard").parquet(path)
+    """df's rows, each once and with all columns, as one Parquet folder a shard page (`_shard=s<prefix>.<page>`). Null and repeated ids are rows like others. A
+    row finds its shard by its own hash, so nothing is joined by id. df must not have a column `_shard`."""
+    if "_shard" in df.columns:
+        raise ValueError("df has a column _shard")
+    rows = _placed(_measured(df, F.struct(*(F.col(f"`{c}`") for c in df.columns)), id_col, text_col), limit)
+    rows.select("x.*", F.concat(F.lit("s"), F.col("shard"), F.lit("."), F.col("page")).alias("_shard")).repartition("_shard").write.partitionBy("_shard").parquet(path)

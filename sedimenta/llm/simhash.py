@@ -216,13 +216,13 @@ def _compared(rows: DataFrame, radius: int) -> DataFrame:
 
 def hashed(df: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, f): the fingerprint of each row as a signed long."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+    rows = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fingerprints(b.column(1).to_pylist(), words).view(np.int64))], ["id", "f"])
 
-    return rows.mapInArrow(run, T.StructType([T.StructField("id", T.LongType()), T.StructField("f", T.LongType())]))
+    return rows.mapInArrow(run, T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("f", T.LongType())]))
 
 
 def hex16(f: Column) -> Column:
@@ -233,8 +233,8 @@ def near_duplicates(df: DataFrame, radius: int = 2, words: int = 3, id_col: str
     """One row for each row of df: the id, fingerprint (16 hex digits) and component_id, the smallest id that links of at most `radius` bits reach.
 
     A null or empty text, or one without words, has the fingerprint zero and links like any other. Rows that repeat an id are each returned; they share a
-    component only if their fingerprints link. A null id counts as no id: it takes the component of its fingerprint, null if that has none. An
-    empty table gives an empty result. Other columns are not read."""
+    component only if their fingerprints link. Ids have any type with an order. A null id counts as no id: it takes the component of its fingerprint, null
+    if that has none. An empty table gives an empty result. Other columns are not read."""
     docs = stored(hashed(df, words, id_col, text_col), "fingerprints")
     named = _members(docs, radius, blocks, most).select("f", "component_id")
     return docs.join(named, "f").select(F.col("id").alias(id_col), hex16(F.col("f")).alias("fingerprint"), "component_id")

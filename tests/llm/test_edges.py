@@ -74,9 +74,8 @@ def test_simhash(docs, none, spark):
     label = brute.components({i: f for f, i in by_print.items()})
     same(got, [(i, f"{f:016x}", label[by_print[f]] if f in by_print else None) for i, f in prints])
     assert simhash.near_duplicates(none).count() == 0
-    kept = simhash.one_of_each(docs)
-    assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted({label[by_print[f]] for f in by_print})
+    named = simhash.near_duplicates(spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(["a b c d", "a B c d", "x"])], "doc_id string, text string"))
+    assert sorted((r["doc_id"], r["component_id"]) for r in named.collect()) == [("d0", "d0"), ("d1", "d0"), ("d2", "d2")]
 
 
 @pytest.mark.parametrize("radius", [0, 2, 3])
@@ -194,6 +193,23 @@ def test_sharding(docs, none, spark):
     assert sharding.assign(none).count() == 0
 
 
+@pytest.mark.parametrize("limit", [40, 2000, 10**6])
+def test_write_shards(docs, none, spark, limit):
+    """Every row once, with its columns, in the shard that `assign` names; no folder over the limit but for one document alone or pages."""
+    rows = [(k % 40 if k % 11 else None, "x" * (k % 90)) for k in range(600)] + [(7, f"page {k}") for k in range(50)]
+    for df in (docs, none, spark.createDataFrame(rows, SCHEMA).withColumn("more", F.lit(1)).repartition(3)):
+        path = common.shared_path(spark, "shards")
+        sharding.write_shards(df, path, limit)
+        if df is none:
+            continue
+        back = spark.read.option("recursiveFileLookup", "false").schema(T.StructType([*df.schema.fields, T.StructField("_shard", T.StringType())])).parquet(path)
+        same([tuple(r) for r in back.drop("_shard").collect()], [tuple(r) for r in df.collect()])
+        sizes = back.groupBy("_shard").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
+        want = sharding.assign(df, limit).select(F.concat(F.lit("s"), "shard", F.lit("."), "page").alias("s"), "shard_bytes", "shard_docs").distinct().collect()
+        assert sorted((r["bytes"], r["n"]) for r in sizes) == sorted((r["shard_bytes"], r["shard_docs"]) for r in want)
+        assert all(r["bytes"] <= limit or r["n"] == 1 for r in sizes)
+
+
 def test_chat_layouts(spark):
     df = spark.createDataFrame(
         [(1, "Hi", "Yo", None, None, None, None, None), (2, None, None, "Add", "1 2", "3", None, None), (3, None, None, "Say", None, "x", None, "Be kind"), (4, None, None, None, None, None, [("user", "a</s>"), ("assistant", "\\n <|end|>\n")], None), (5, "", None, None, None, None, [], None)][:4],
@@ -219,6 +235,9 @@ def test_chat_round_trip(spark):
     bad = made.select(F.regexp_replace("formatted", r"<\|(turn|text|end)\|>", "").alias("rest")).where(r"rest rlike '</?s>|\\[/?INST\\]|<</?SYS>>'")
     assert bad.count() == 0
     got = {r["key"]: ([tuple(t) for t in r["turns"]], r["learnt"]) for r in chat.read_back(made).collect()}
+    moved = made.withColumn("loss", F.transform("loss", lambda s: s.withField("start", s["start"] + 1).withField("end", s["end"] + 1)))
+    off = {r["key"]: r["learnt"] for r in chat.read_back(moved).collect()}
+    assert all(off[k] != learnt for k, (_, learnt) in got.items() if any(learnt))  # the offsets are what is read
     want = {}
     for c, t, r, x, _ in rows:
         want.setdefault(c, []).append((t is not None, t or 0, r or "", x or ""))
