@@ -105,13 +105,17 @@ def fit(histogram: dict[int, int], capacity: Capacity, weights: tuple[float, flo
     return np.array(plan, np.int64).reshape(-1, 5)
 
 
-def pieces(df: DataFrame, tokenizer: str, longest: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(df: DataFrame, tokenizer: str, longest: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
     """The pieces of every document: its ids and then end_id, cut, if longer than `longest`, so that only the first piece is shorter. With them
-    the task that made them (part) and their rank among that task's pieces of the same length."""
+    the task that made them (part) and their rank among that task's pieces of the same length; with `ids` also the ids, little-endian in 32 bits."""
     spec = bpe.load(df.sparkSession, tokenizer)
     rows = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     longs = ["piece", "start", "length", "ids_crc32", "part", "part_rank"]
-    schema = T.StructType([T.StructField(id_col, rows.schema["id"].dataType), *(T.StructField(x, T.IntegerType() if x == "piece" else T.LongType()) for x in longs)])
+    schema = T.StructType([T.StructField(id_col, rows.schema["id"].dataType), *(T.StructField(x, T.IntegerType() if x == "piece" else T.LongType()) for x in longs), *([T.StructField("ids", T.BinaryType())] if ids else [])])
+    kinds = [pa.int32(), *[pa.int64()] * (len(longs) - 1), *([pa.binary()] if ids else [])]
+
+    def made(b: pa.RecordBatch, row: list[int], out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), *(pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True))], schema.names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end, part = bpe.encoder(spec), end_id.to_bytes(4, "little"), TaskContext.get().partitionId()
@@ -124,17 +128,21 @@ def pieces(df: DataFrame, tokenizer: str, longest: int, end_id: int = 0, id_col:
                 while at < n:
                     size = (n - at) % longest or longest
                     row.append(k)
-                    out.append((piece, at, size, zlib.crc32(data[4 * at : 4 * (at + size)]), part, int(seen[size])))
+                    own = data[4 * at : 4 * (at + size)]
+                    out.append((piece, at, size, zlib.crc32(own), part, int(seen[size]), *([bytes(own)] if ids else [])))
                     seen[size] += 1
                     at, piece = at + size, piece + 1
-            for k in range(0, len(out), OUT_ROWS):
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[k : k + OUT_ROWS])), *(pa.array(x, pa.int32() if not j else pa.int64()) for j, x in enumerate(zip(*out[k : k + OUT_ROWS], strict=True)))], [id_col, *longs])
+                    if len(out) >= OUT_ROWS:
+                        yield made(b, row, out)
+                        row, out = [], []
+            if out:
+                yield made(b, row, out)
 
     return rows.mapInArrow(cut, schema)
 
 
-def pack(df: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", weights: tuple[float, float, float] = (1.0, 0.01, 0.01), score: str = "norm") -> DataFrame:
-    """One row for each piece: the id, piece, start, length, ids_crc32, sequence_id, offset.
+def pack(df: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", weights: tuple[float, float, float] = (1.0, 0.01, 0.01), score: str = "norm", ids: bool = False) -> DataFrame:
+    """One row for each piece: the id, piece, start, length, ids_crc32, sequence_id, offset, and with `ids` its ids (bytes, little-endian in 32 bits).
 
     A null or empty text is the end id alone. Null and repeated ids are documents of their own. Documents longer than a sequence are cut,
     nothing is dropped. An empty table gives an empty result. Other columns are not read."""
@@ -142,7 +150,7 @@ def pack(df: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), end_id:
         raise ValueError("capacities are positive; score is norm or dot")
     longest = capacity.piece()
     spark = df.sparkSession
-    made = stored(pieces(df, tokenizer, longest, end_id, id_col, text_col), "pieces")
+    made = stored(pieces(df, tokenizer, longest, end_id, id_col, text_col, ids), "pieces")
     histogram = {r[0]: r[1] for r in made.groupBy("length").count().collect()}  # at most `longest` rows
     plan = fit(histogram, capacity, weights, score)
     plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))]
@@ -153,7 +161,7 @@ def pack(df: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), end_id:
     counts = made.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     based = made.join(running_base(counts, "length", "part", "n", "base"), ["length", "part"])
     fields = [made.schema[x] for x in (id_col, "piece", "start", "length", "ids_crc32")]
-    schema = T.StructType([*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    schema = T.StructType([*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), *([T.StructField("ids", T.BinaryType())] if ids else [])])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = sent.value
@@ -161,6 +169,6 @@ def pack(df: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), end_id:
         for b in batches:
             length, rank = b.column(3).to_numpy(zero_copy_only=False), b.column(5).to_numpy(zero_copy_only=False)
             k = np.searchsorted(keys, length * (1 << 42) + rank, "right") - 1
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(plan[k, 3] + rank - plan[k, 1]), pa.array(plan[k, 4])], [*schema.names])
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(plan[k, 3] + rank - plan[k, 1]), pa.array(plan[k, 4]), *b.columns[6:]], [*schema.names])
 
-    return based.select(id_col, "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("part_rank")).alias("rank")).mapInArrow(place, schema)
+    return based.select(id_col, "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("part_rank")).alias("rank"), *(["ids"] if ids else [])).mapInArrow(place, schema)

@@ -254,22 +254,27 @@ def _members(docs: DataFrame, radius: int, blocks: int = 4, most: int = 4_000) -
 
 
 def keep_one(df: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """members (id, h: XXH64 of the text, component): one row of df for each component with ids, with its smallest id; rows with a null id stay."""
+    """members (id, h: XXH64 of the text, component): one row of df for each component with ids, with its smallest id; rows with a null id stay. The
+    texts are shuffled once."""
     first = members.where(F.col("id").isNotNull()).groupBy("component").agg(F.min(F.struct("id", "h")).alias("x")).select(F.col("x.id").alias("_id"), F.col("x.h").alias("_h"))
     named = df.where(F.col(id_col).isNotNull()).withColumn("_text", F.xxhash64(text_or_empty(text_col)))
-    kept = named.join(first, (named[id_col].cast("long") == first["_id"]) & (named["_text"] == first["_h"]), "left_semi").dropDuplicates([id_col, "_text"]).drop("_text")
+    kept = named.join(first, (named[id_col] == first["_id"]) & (named["_text"] == first["_h"]), "left_semi").dropDuplicates([id_col, "_text"]).drop("_text")
     return kept.unionByName(df.where(F.col(id_col).isNull()))
 
 
-def one_of_each(df: DataFrame, radius: int = 2, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of df for each component, with its smallest id, all columns kept; an id that repeats in several components stays once for each of which it
-    is the smallest. Rows with a null id stay."""
+def one_of_each(df: DataFrame, radius: int | None = None, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of df for each group of near-duplicates, with its smallest id, all columns kept. With a radius, fingerprints within so many bits link, as in
+    `near_duplicates`; else shingle sets of this Jaccard similarity, see `near_copies`. Null and repeated ids are handled as there."""
+    if radius is None:
+        from sedimenta.llm import near_copies
+
+        return near_copies.one_of_each(df, similarity, words, id_col, text_col)
     text = text_or_empty(text_col)
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fingerprints(b.column(2).to_pylist(), words).view(np.int64))], ["id", "h", "f"])
 
-    docs = stored(rows.mapInArrow(run, "id long, h long, f long"), "fingerprints")
+    docs = stored(rows.mapInArrow(run, T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("h", T.LongType()), T.StructField("f", T.LongType())])), "fingerprints")
     return keep_one(df, docs.join(_members(docs, radius), "f").select("id", "h", "component"), id_col, text_col)

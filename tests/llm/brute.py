@@ -49,6 +49,18 @@ def components(prints, radius=2):
     return label
 
 
+def shingle_components(texts, n=5, least=0.8):
+    """Of each text the first one that links of this similarity reach."""
+    sets = [{tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))} if (w := (t or "").lower().split()) else set() for t in texts]
+    label = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if sets[a] == sets[b] or len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
 def base(text):
     text = text or ""
     words = WORD.findall(text)

@@ -4,6 +4,7 @@ import hashlib
 import os
 from collections import defaultdict
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
@@ -108,7 +109,8 @@ def test_lm_scores(spark):
 
 
 def test_pipeline(spark):
-    """Each stage's plain version, on what the one before it kept. The forest's verdicts come from the operator, one document at a time."""
+    """Each stage's plain version, on what the one before it kept: near copies are five-word shingle sets of similarity 0.8 or more. The forest's verdicts
+    come from the operator, one document at a time."""
     from sedimenta.llm import quality
 
     docs = {d["doc_id"]: d["text"] for d in rows("documents")}
@@ -117,11 +119,13 @@ def test_pipeline(spark):
     import numpy as np
 
     kept = {i: t for i, t in docs.items() if not brute.base(t)[5] and model.scores(np.array([quality.statistics(t)[1]]))[0] <= model.threshold}
-    label = brute.components({i: brute.fingerprint(t) for i, t in kept.items()})
+    names = sorted(kept)
+    label = {i: names[k] for i, k in zip(names, brute.shingle_components([kept[i] for i in names]), strict=True)}
     items = [(r["item_id"], r["text"]) for r in rows("benchmark")]
     left = {i: t for i, t in kept.items() if label[i] == i and not brute.contamination(t, items)[4]}
     got = run(spark, "pipeline")
     want = {i: [*brute.ids("byte_bpe_50k.json", t), 0] for i, t in left.items()}
     assert {r["doc_id"] for r in got} == set(want)
     assert all(r["ids_crc32"] == brute.crc(want[r["doc_id"]][r["start"] : r["start"] + r["length"]]) for r in got)
+    assert all(brute.crc(np.frombuffer(r["ids"], "<u4")) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] for r in got)
     assert sum(r["length"] for r in got) == sum(map(len, want.values()))

@@ -22,13 +22,7 @@ def test_near_duplicates_of_the_pipeline(spark):
                 own[at] = f"x{rnd.randrange(5000)}"
             texts.append(" ".join(own))
     texts += [texts[0].upper(), "", None, "too short", "Too  short"]
-    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for t in texts]
-    label = list(range(len(texts)))
-    for b in range(len(texts)):
-        for a in range(b):
-            if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                low, high = sorted((label[a], label[b]))
-                label = [low if x == high else x for x in label]
+    label = brute.shingle_components(texts)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == set(label)
 
@@ -54,13 +48,31 @@ def test_chat_rows_that_fit_no_layout(spark):
     assert got == {1: ([("user", "Hi"), ("assistant", "Yo")], ["Yo"]), 2: ([("user", "Hi"), ("assistant", "")], [""]), 3: ([], []), 4: ([], []), 5: ([("user", "a"), ("assistant", "b")], ["b"]), 6: ([("user", "c")], []), None: ([], [])}
 
 
-@pytest.mark.parametrize("one_of_each", [simhash.one_of_each, near_copies.one_of_each])
-def test_an_id_in_two_components(spark, one_of_each):
-    """Rows of one id, one a copy of another document and one with a text of its own."""
+@pytest.mark.parametrize("radius", [2, None])
+def test_an_id_in_two_components(spark, radius):
+    """Rows of one id, one a copy of another document and one with a text of its own; ids as text; rows without an id."""
+    one_of_each = lambda df: simhash.one_of_each(df, radius, 3 if radius else 5)
     text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
     rows = [x for k in range(30) for x in ((1000 + k, text(2 * k)), (k, text(2 * k)), (1000 + k, text(2 * k + 1)))]
     kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(x for x in rows if x != (x[0], text(2 * (x[0] - 1000))))
+    rows = [("a", text(1), 1), ("b", text(1).upper(), 2), (None, text(1), 3), (None, None, 4), ("c", None, 5), ("d", " ", 6), ("e", text(2), 7), ("e", text(3), 8), ("e", text(3), 8)]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id string, text string, h long").repartition(4)).collect()
+    assert sorted(r["h"] for r in kept) == [1, 3, 4, 5, 7, 8]
+
+
+@pytest.mark.parametrize("most", [300, 10**6])
+def test_near_copies_in_large_buckets(spark, most):
+    """Chains of edits, in which the first of a bucket doesn't reach all, against all pairs."""
+    rnd, texts = random.Random(3), []
+    for k in range(3):
+        words = [f"c{k}w{j}" for j in range(60)]
+        for _ in range(40):
+            words[rnd.randrange(60)] = f"x{rnd.randrange(100)}"
+            texts.append(" ".join(words))
+    label = brute.shingle_components(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"] for r in near_copies.one_of_each(docs, most=most).collect()} == set(label)
 
 
 def test_lookup_of_an_id_in_several_parts(spark):
