@@ -10,29 +10,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import common, decontamination, near_copies, packing, quality
+from sedimenta.llm import common, decontamination, packing, quality, simhash
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the forest keep, in one pass that carries all columns."""
+    """Documents that the base rules and the forest keep, in one pass that carries all columns. Null and empty texts fail the base rules; repeated rows and rows
+    without an id are judged each by its text."""
     return quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that five-word shingles of similarity 0.8 or more link, the one with the smallest id. Documents without an id can't be named and stay."""
-    return near_copies.one_of_each(docs)
+    """One document of each group that five-word shingles of similarity 0.8 or more link, the one with the smallest id. Null, empty and blank texts are copies of each
+    other; an id that repeats with other texts stays for each of its groups; documents without an id can't be named and stay."""
+    return simhash.one_of_each(docs, words=5, similarity=0.8)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window; what surrounds a leaked passage is usually about it, so the whole document goes."""
+    """Documents without a benchmark window; what surrounds a leaked passage is usually about it, so the whole document goes. Null and empty texts are clean;
+    repeated rows and rows without an id are judged each."""
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "drop")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces and their places in sequences of at most 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Pieces with their token ids and their places in sequences of at most 2048 tokens. A null or empty text is its end id alone; repeated rows and rows without
+    an id are packed each. Every stage gives an empty table for an empty one."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("decontaminated", decontaminated), ("packed", packed)]
