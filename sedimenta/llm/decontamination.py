@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import pickle
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,9 +29,9 @@ WINDOW = 10
 SHARD_WORDS = 1_000_000
 #: Every so manieth suffix position is stored.
 SAMPLED = 8
-#: Benchmark bytes of one block; all blocks are searched in turn. More than MOST_BYTES in all is refused.
-BLOCK_BYTES = 16 * 2**20
-MOST_BYTES = 2**30
+#: Benchmark bytes of one block, some 20 MB as arrays of windows; a worker unpacks one block at a time. More than MOST_BYTES in all is refused.
+BLOCK_BYTES = 2 * 2**20
+MOST_BYTES = 64 * 2**20
 #: Lower case for A-Z, a space for ASCII that is no letter or digit; bytes of other characters stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
@@ -129,26 +132,39 @@ class Phrases(NamedTuple):
     words: dict[bytes, int]
     rows: np.ndarray  # distinct windows, aligned to the right
     lengths: np.ndarray
-    items: list[list[int]]  # of each window: indices into names
+    first: np.ndarray  # window k is of the items first[k] .. first[k + 1]
+    items: np.ndarray  # indices into names
     names: list[str]
 
+    def packed(self) -> bytes:
+        return zlib.compress(pickle.dumps((b"\n".join(self.words), self.rows.astype(np.int32), self.lengths.astype(np.int16), self.first, self.items, self.names), 5), 1)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Phrases:
+        words, rows, lengths, first, items, names = pickle.loads(zlib.decompress(data))
+        return cls({w: k + 1 for k, w in enumerate(words.split(b"\n"))} if words else {}, rows, lengths, first, items, names)
+
 
 def phrases(items: list[tuple[object, str | None]], window: int = WINDOW) -> Phrases:
     """Windows of `window` consecutive words; an item of fewer words is one window, an item without words none."""
     words: dict[bytes, int] = {}
-    found: dict[tuple[int, ...], set[int]] = {}
     names = sorted({str(i) for i, _ in items if i is not None})
     number = {x: k for k, x in enumerate(names)}
+    rows, lengths, owners = [np.zeros((0, window), np.int32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     for i, text in items:
-        ids = [words.setdefault(w, len(words) + 1) for w in words_of(text)]
-        for k in range(max(1, len(ids) - window + 1) if ids else 0):
-            own = found.setdefault(tuple(ids[k : k + window]), set())
-            if i is not None:
-                own.add(number[str(i)])
-    rows = np.zeros((len(found), window), np.int64)
-    for k, w in enumerate(found):
-        rows[k, window - len(w) :] = w
-    return Phrases(words, rows, np.array([len(w) for w in found], np.int64), [sorted(x) for x in found.values()], names)
+        ids = np.array([words.setdefault(w, len(words) + 1) for w in words_of(text)], np.int32)
+        if not len(ids):
+            continue
+        some = np.lib.stride_tricks.sliding_window_view(ids, window) if len(ids) >= window else np.concatenate([np.zeros(window - len(ids), np.int32), ids])[None]
+        rows.append(some)
+        lengths.append(np.full(len(some), min(window, len(ids)), np.int32))
+        owners.append(np.full(len(some), -1 if i is None else number[str(i)], np.int32))
+    rows, which = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
+    which, owners, sizes = which.ravel(), np.concatenate(owners), np.zeros(len(rows), np.int64)
+    sizes[which] = np.concatenate(lengths)
+    pairs = np.unique(which[owners >= 0] * np.int64(len(names) + 1) + owners[owners >= 0])
+    of, own = np.divmod(pairs, len(names) + 1)
+    return Phrases(words, rows, sizes, np.searchsorted(of, np.arange(len(rows) + 1)), own, names)
 
 
 def shards(docs: list[list[bytes]], known: dict[bytes, int], shortest: int, longest: int, size: int = SHARD_WORDS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -194,19 +210,18 @@ def occurrences(docs: list[list[bytes]], block: Phrases, size: int = SHARD_WORDS
         yield doc[at], place[at], window
 
 
-def _judged(docs: list[list[bytes]], blocks: list, size: int) -> list[tuple[int, int, list[tuple[int, int]], list[str]]]:
+def _judged(docs: list[list[bytes]], blocks: Callable[[], Iterator[Phrases]], size: int) -> list[tuple[int, int, list[tuple[int, int]], list[str]]]:
     """Of each document: words, words hit, merged spans, names of the items."""
     sizes = np.array([len(d) for d in docs], np.int64)
     base = np.concatenate([[0], np.cumsum(sizes + 1)])
     edge, items = np.zeros(int(base[-1]) + 1, np.int64), [set() for _ in docs]
-    for sent in blocks:
-        block = sent.value
+    for block in blocks():
         for doc, place, window in occurrences(docs, block, size):
             np.add.at(edge, base[doc] + place, 1)
             np.add.at(edge, base[doc] + place + block.lengths[window], -1)
             for pair in np.unique(doc * len(block.rows) + window).tolist():
                 d, w = divmod(pair, len(block.rows))
-                items[d].update(block.names[k] for k in block.items[w])
+                items[d].update(block.names[k] for k in block.items[block.first[w] : block.first[w + 1]].tolist())
     hit = np.cumsum(edge) > 0
     out = []
     for d in range(len(docs)):
@@ -232,8 +247,8 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return "\n".join(x for x in [*out, text[at:]] if x.strip())
 
 
-def blocks_of(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> list:
-    """Broadcasts of the benchmark, block by block. Its size is checked first; it is a set of test items, not a corpus."""
+def blocks_of(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> list[Broadcast]:
+    """Broadcasts of the benchmark, packed, block by block. Its size is checked first; it is a set of test items, not a corpus. The driver holds one block."""
     spark = benchmark.sparkSession
     rows = benchmark.select(F.col(item_col).alias("item"), text_or_empty(text_col).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
@@ -242,15 +257,23 @@ def blocks_of(benchmark: DataFrame, window: int, item_col: str, text_col: str) -
     out, some, size = [], [], 0
     for r in rows.toLocalIterator():
         some.append((r["item"], r["text"]))
-        size += len(r["text"])
+        size += len(r["text"].encode()) + 64
         if size >= BLOCK_BYTES:
-            out.append(spark.sparkContext.broadcast(phrases(some, window)))
+            out.append(spark.sparkContext.broadcast(phrases(some, window).packed()))
             some, size = [], 0
     if some:
-        out.append(spark.sparkContext.broadcast(phrases(some, window)))
+        out.append(spark.sparkContext.broadcast(phrases(some, window).packed()))
     return out
 
 
+def reader(sent: list[Broadcast]) -> Callable[[], Iterator[Phrases]]:
+    """The blocks in turn, one unpacked at a time; a single one stays."""
+    if len(sent) == 1:
+        only = Phrases.unpacked(sent[0].value)
+        return lambda: iter((only,))
+    return lambda: (Phrases.unpacked(x.value) for x in sent)
+
+
 RESULT = [("n_words", T.LongType()), ("n_hit", T.LongType()), ("n_items", T.LongType()), ("items_sha256", T.StringType()), ("contaminated", T.BooleanType()), ("spans", T.ArrayType(T.ArrayType(T.LongType())))]
 
 
@@ -265,7 +288,7 @@ def contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_
     schema = T.StructType([T.StructField(id_col, rows.schema["id"].dataType), *(T.StructField(*x) for x in RESULT)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, _, judged in _groups(batches, 0, 1, blocks, size):
+        for ids, _, judged in _groups(batches, 0, 1, reader(blocks), size):
             yield pa.RecordBatch.from_arrays([ids, *_columns(judged)], schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -279,7 +302,7 @@ def _columns(judged: list) -> list[pa.Array]:
     ]
 
 
-def _groups(batches: Iterator[pa.RecordBatch], id_at: int, text_at: int, blocks: list, size: int) -> Iterator[tuple[pa.Array, pa.RecordBatch, list]]:
+def _groups(batches: Iterator[pa.RecordBatch], id_at: int, text_at: int, blocks: Callable[[], Iterator[Phrases]], size: int) -> Iterator[tuple[pa.Array, pa.RecordBatch, list]]:
     """Rows of a batch, some at a time, so that their words stay within `size` (or are one document)."""
     for b in batches:
         docs, n, lo = [], 0, 0
@@ -300,7 +323,8 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, action: str = "drop", win
     blocks, at, schema = blocks_of(benchmark, window, item_col, item_text_col), df.columns.index(text_col), df.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, part, judged in _groups(batches, 0, at, blocks, SHARD_WORDS):
+        block = reader(blocks)
+        for _, part, judged in _groups(batches, 0, at, block, SHARD_WORDS):
             if action == "drop":
                 yield part.filter(pa.array([not x[1] for x in judged], pa.bool_()))
                 continue
@@ -308,7 +332,7 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, action: str = "drop", win
             for k, x in enumerate(judged):
                 while x[1]:
                     texts[k] = without(texts[k], x[2])
-                    x = _judged([words_of(texts[k])], blocks, SHARD_WORDS)[0]
+                    x = _judged([words_of(texts[k])], block, SHARD_WORDS)[0]
             columns = list(part.columns)
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, schema=part.schema)

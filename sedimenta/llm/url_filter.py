@@ -1,7 +1,8 @@
 """URL verdicts: host and path rules first, then a weighted vocabulary searched by an Aho-Corasick automaton.
 
 One pass over the url column, no shuffle. The automaton finds every term of the vocabulary in one scan of the url; a hit counts only between
-boundaries (no letter or digit next to it). One strict term, or several distinct soft terms, block a url."""
+boundaries (no letter or digit next to it). One strict term, or several distinct soft terms, block a url. A vocabulary is two lists of
+terms, or a table of terms and weights, of which the strict ones weigh 1 or more."""
 
 from __future__ import annotations
 
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sedimenta.llm.common import rows_within_bytes
+
 #: The vocabulary in use when none is given.
 STRICT = ("casino", "porn", "xxx", "viagra", "phishing", "malware", "warez")
 SOFT = ("bet", "bets", "win", "free", "cheap", "pills", "ads", "track", "adult", "loan", "loans", "poker", "bonus", "crypto", "click", "sex", "slots", "replica")
@@ -92,17 +95,32 @@ class Judge:
         return host, path, rule.text if rule else None, verdict, strict, soft
 
 
+#: Bytes of a vocabulary table at most: it goes to every worker.
+MOST_BYTES = 64 * 2**20
+
+
+def vocabulary(terms: DataFrame, term_col: str = "term", weight_col: str = "weight") -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """(strict, soft) terms of a table: those of weight 1 or more, and those of a smaller weight above 0; null or empty terms and other weights don't count. The
+    table's size is checked before it comes to the driver."""
+    rows = terms.select(F.col(term_col).cast("string").alias("term"), F.col(weight_col).cast("double").alias("weight")).where("term <> '' and weight > 0")
+    if not rows_within_bytes(rows, ["term"], MOST_BYTES, MOST_BYTES):
+        raise ValueError(f"the vocabulary has more than {MOST_BYTES} bytes")
+    found = rows.groupBy("term").agg(F.max("weight").alias("weight")).collect()
+    return tuple(sorted(r["term"] for r in found if r["weight"] >= 1)), tuple(sorted(r["term"] for r in found if r["weight"] < 1))
+
+
 def judge_urls(df: DataFrame, rules: tuple[Rule, ...] = RULES, strict: tuple[str, ...] = STRICT, soft: tuple[str, ...] = SOFT, soft_needed: int = 2, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row for each row of df: the id, host, path, rule (its text, or null), verdict (allow or block), n_strict and n_soft (distinct terms hit).
 
     The longest rule that fits decides; without one the vocabulary does. A null url, or one without ://, has an empty host and path, fits no rule and
     is judged by its terms (null: allow). Repeated rows and null ids are judged each. Empty tables and vocabularies are fine. Other columns are not read."""
+    sent = df.sparkSession.sparkContext.broadcast((tuple(rules), tuple(strict), tuple(soft)))
     rows = df.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
     text = ["host", "path", "rule", "verdict"]
     schema = T.StructType([T.StructField(id_col, rows.schema["id"].dataType), *(T.StructField(x, T.StringType()) for x in text), *(T.StructField(x, T.LongType()) for x in ("n_strict", "n_soft"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = Judge(tuple(rules), tuple(strict), tuple(soft), soft_needed)
+        judge = Judge(*sent.value, soft_needed)
         for b in batches:
             out = [judge(u) for u in b.column(1).to_pylist()]
             if out:

@@ -254,6 +254,24 @@ def test_urls(spark):
     assert {r["verdict"] for r in url_filter.judge_urls(df, (), (), ()).collect()} == {"allow"}
 
 
+def test_urls_with_a_large_vocabulary(spark):
+    """Thousands of terms with weights from a table, terms inside others, very long urls; against a plain search."""
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcde1é") for _ in range(rnd.randint(2, 5)))
+    terms = [(word(), rnd.choice([1.0, 2.0, 0.5, 0.3, 0.0, None])) for _ in range(5000)] + [(None, 1.0), ("", 1.0)]
+    strict, soft = url_filter.vocabulary(spark.createDataFrame(terms, "term string, weight double"))
+    assert len(strict) + len(soft) > 1500 and not set(strict) & set(soft)
+    kind = dict.fromkeys(soft, 0) | dict.fromkeys(strict, 1)
+    urls = ["x://h.org/" + rnd.choice("-/.?").join(word() + rnd.choice(["", "zz"]) for _ in range(rnd.randint(0, 4))) for _ in range(300)] + ["x://h.org/" + "q" * 300_000 + "-" + strict[0], "x://h.org/" + "q" * 300_000]
+    got = {r["page_id"]: (r["n_strict"], r["n_soft"], r["verdict"]) for r in url_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), (), strict, soft).collect()}
+    import re
+
+    for k, u in enumerate(urls):
+        found = {w for run in re.findall(r"[^\W_]+", u) for w in [run] if w in kind}
+        s = sum(kind[w] for w in found)
+        assert got[k] == (s, len(found) - s, "block" if s or len(found) - s >= 2 else "allow"), u[:80]
+
+
 def test_token_files(docs, none, spark):
     path = common.shared_path(spark, "t")
     token_files.write(docs, path, WORD, shard_bytes=200)
@@ -264,6 +282,11 @@ def test_token_files(docs, none, spark):
     assert [s for s, _ in starts] == list(np.cumsum([0, *(n for _, n in starts)])[:-1])
     assert token_files.lookup(spark, path, 5) == [*brute.ids("word_bpe_49k.json", ROWS[5][1]), 1]
     assert token_files.lookup(spark, path, 4, 1) is not None and token_files.lookup(spark, path, 99) is None
+    assert sorted(token_files.lookup(spark, path, None, k) for k in (0, 1)) == sorted([*brute.ids("word_bpe_49k.json", t), 1] for i, t in ROWS if i is None)
+    path, texts = common.shared_path(spark, "t"), [("b", "one two"), ("a", "three"), (None, "four"), ("", "five"), ("a", "six")]
+    token_files.write(spark.createDataFrame(texts, "doc_id string, text string"), path, WORD, shard_bytes=8)
+    assert [r["doc_id"] for r in token_files.read_back(spark, path).orderBy("start").collect()] == [None, "", "a", "a", "b"]
+    assert token_files.lookup(spark, path, "b") == [*brute.ids("word_bpe_49k.json", "one two"), 1] and token_files.lookup(spark, path, "") == [*brute.ids("word_bpe_49k.json", "five"), 1]
     path = common.shared_path(spark, "t")
     token_files.write(none, path, WORD)
     assert token_files.read_back(spark, path).count() == 0
@@ -289,12 +312,31 @@ def test_decontamination(docs, none, spark):
         assert parts
     same(got, want)
     assert decontamination.contamination(docs, items.limit(0)).where("contaminated").count() == 0
+    with pytest.MonkeyPatch.context() as m:  # several blocks
+        m.setattr(decontamination, "BLOCK_BYTES", 100)
+        assert len(decontamination.blocks_of(items, 10, "item_id", "text")) > 2
+        same([(r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontamination.contamination(docs, items, size=500).collect()], want)
     assert decontamination.contamination(none, items).count() == 0
     assert decontamination.decontaminate(docs, items).columns == docs.columns
     cut = decontamination.decontaminate(docs, items, "cut")
     assert cut.count() == len(ROWS) and decontamination.contamination(cut, items).where("contaminated").count() == 0
 
 
+def test_memory_of_a_block():
+    """A full block of other words everywhere: what the driver and a worker hold for it."""
+    import tracemalloc
+
+    rnd = random.Random(8)
+    items = [(k, " ".join(f"w{rnd.randrange(200_000)}" for _ in range(200))) for k in range(decontamination.BLOCK_BYTES // 1400)]
+    tracemalloc.start()
+    block = decontamination.phrases(items)
+    data = block.packed()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    back = decontamination.Phrases.unpacked(data)
+    assert peak < 160 * 2**20 and len(data) < 16 * 2**20 and back.words == block.words and (back.rows == block.rows).all()
+
+
 def _union(text, bench, window=10):
     import hashlib
 
