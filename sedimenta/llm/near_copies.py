@@ -142,17 +142,17 @@ def _compared(rows: DataFrame, least: float) -> DataFrame:
 
 def _links(df: DataFrame, docs: DataFrame, least: float, words: int, id_col: str, text_col: str, most: int = MOST) -> DataFrame:
     """(a, b): pairs of shingle sets, enough to connect all similar ones that share a bucket."""
-    named = F.struct(F.col("id").isNull(), "id", "h", "f", "n", "bands")
-    one = docs.groupBy("s").agg(F.min(named).alias("x"))
-    rows = stored(one.select("s", "x.id", "x.h", "x.f", "x.n", F.explode("x.bands").alias("bucket")), "bands")
+    one = docs.groupBy("s").agg(F.min(F.struct(F.col("id").isNull(), "id", "h", "f", "n", "bands")).alias("x"))
+    one = stored(one.select("s", "x.id", "x.h", "x.f", "x.n", "x.bands"), "sets")
+    rows, one = one.select("s", "n", F.explode("bands").alias("bucket")), one.select("s", "id", "h", "f")
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("s").cast("decimal(38,0)")).alias("who"), F.sum("n").alias("w"), F.min("s").alias("hub")).where("c > 1")
     once = shared.groupBy("c", "who").agg(F.min(F.struct("bucket", "w", "hub")).alias("x"))
     once = stored(once.select("x.bucket", "x.w", "x.hub", F.ceil(F.col("x.w") / most).cast("int").alias("g")), "buckets")
     members = rows.join(once, "bucket")
     block = F.pmod(F.xxhash64("s", "bucket"), F.col("g")).cast("int")
     own = F.when(F.col("g") == 1, F.array("bucket")).when(F.col("s") == F.col("hub"), F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda k: F.xxhash64("bucket", k))).otherwise(F.array(F.xxhash64("bucket", block)))
-    keys = members.select("s", "id", "h", "f", F.explode(F.transform(own, lambda k: F.struct(k.alias("key"), F.lit(0).alias("role")))).alias("k"))
-    wanted = keys.groupBy("s", "id", "h", "f").agg(F.collect_list("k").alias("keys"))
+    keys = members.select("s", F.explode(F.transform(own, lambda k: F.struct(k.alias("key"), F.lit(0).alias("role")))).alias("k"))
+    wanted = keys.groupBy("s").agg(F.collect_list("k").alias("keys")).join(one, "s")
     links = stored(_compared(_dealt(df, wanted, words, id_col, text_col), least), "links")
     if not once.where("g > 1").take(1):
         return links
@@ -167,8 +167,8 @@ def _links(df: DataFrame, docs: DataFrame, least: float, words: int, id_col: str
     key = lambda r, p, role: F.struct(F.xxhash64("bucket", r, p).alias("key"), F.lit(role).alias("role"))
     held = F.transform(F.sequence(F.lit(0), parts - 1), lambda p: key(part(F.col("r")), p, 0))
     passing = F.transform(F.sequence(F.lit(0), F.col("r") - 1), lambda r: key(r, part(parts), 1))
-    keys = large.select("s", "id", "h", "f", F.explode(F.when(F.col("rest"), F.concat(held, passing)).otherwise(passing)).alias("k"))
-    wanted = keys.groupBy("s", "id", "h", "f").agg(F.collect_list("k").alias("keys"))
+    keys = large.select("s", F.explode(F.when(F.col("rest"), F.concat(held, passing)).otherwise(passing)).alias("k"))
+    wanted = keys.groupBy("s").agg(F.collect_list("k").alias("keys")).join(one, "s")
     return links.union(stored(_compared(_dealt(df, wanted, words, id_col, text_col), least), "links"))
 
 

@@ -105,9 +105,20 @@ def fit(histogram: dict[int, int], capacity: Capacity, weights: tuple[float, flo
     return np.array(plan, np.int64).reshape(-1, 5)
 
 
+def _small(ids: memoryview) -> bytes:
+    own = np.frombuffer(ids, "<u4")
+    narrow = bool(own.max(initial=0) < 2**16)
+    return bytes([narrow]) + zlib.compress(own.astype("<u2").tobytes() if narrow else ids, 1)
+
+
+def _whole(data: bytes) -> bytes:
+    own = zlib.decompress(memoryview(data)[1:])
+    return np.frombuffer(own, "<u2").astype("<u4").tobytes() if data[0] else own
+
+
 def pieces(df: DataFrame, tokenizer: str, longest: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
     """The pieces of every document: its ids and then end_id, cut, if longer than `longest`, so that only the first piece is shorter. With them
-    the task that made them (part) and their rank among that task's pieces of the same length; with `ids` also the ids, little-endian in 32 bits."""
+    the task that made them (part) and their rank among that task's pieces of the same length; with `ids` also the ids, in 16 bits where that does and compressed, for the way to their place."""
     spec = bpe.load(df.sparkSession, tokenizer)
     rows = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     longs = ["piece", "start", "length", "ids_crc32", "part", "part_rank"]
@@ -129,7 +140,7 @@ def pieces(df: DataFrame, tokenizer: str, longest: int, end_id: int = 0, id_col:
                     size = (n - at) % longest or longest
                     row.append(k)
                     own = data[4 * at : 4 * (at + size)]
-                    out.append((piece, at, size, zlib.crc32(own), part, int(seen[size]), *([bytes(own)] if ids else [])))
+                    out.append((piece, at, size, zlib.crc32(own), part, int(seen[size]), *([_small(own)] if ids else [])))
                     seen[size] += 1
                     at, piece = at + size, piece + 1
                     if len(out) >= OUT_ROWS:
@@ -169,6 +180,6 @@ def pack(df: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), end_id:
         for b in batches:
             length, rank = b.column(3).to_numpy(zero_copy_only=False), b.column(5).to_numpy(zero_copy_only=False)
             k = np.searchsorted(keys, length * (1 << 42) + rank, "right") - 1
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(plan[k, 3] + rank - plan[k, 1]), pa.array(plan[k, 4]), *b.columns[6:]], [*schema.names])
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(plan[k, 3] + rank - plan[k, 1]), pa.array(plan[k, 4]), *(pa.array([_whole(x) for x in c.to_pylist()], pa.binary()) for c in b.columns[6:])], [*schema.names])
 
     return based.select(id_col, "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("part_rank")).alias("rank"), *(["ids"] if ids else [])).mapInArrow(place, schema)
