@@ -253,13 +253,15 @@ def _members(docs: DataFrame, radius: int, blocks: int = 4, most: int = 4_000) -
     return members.select("f", "component").join(least, "component")
 
 
-def keep_one(df: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """members (id, h: XXH64 of the text, component): one row of df for each component with ids, with its smallest id; rows with a null id stay. The
-    texts are shuffled once."""
+def keep_one(df: DataFrame, members: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """members (id, h: XXH64 of the text, component): one row of df for each component with ids, with its smallest id; rows with a null id stay. `rows` (id, h) is
+    df in short: only where an id repeats with its text are such copies looked for. The texts are shuffled once at most."""
     first = members.where(F.col("id").isNotNull()).groupBy("component").agg(F.min(F.struct("id", "h")).alias("x")).select(F.col("x.id").alias("_id"), F.col("x.h").alias("_h"))
     named = df.where(F.col(id_col).isNotNull()).withColumn("_text", F.xxhash64(text_or_empty(text_col)))
-    kept = named.join(first, (named[id_col] == first["_id"]) & (named["_text"] == first["_h"]), "left_semi").dropDuplicates([id_col, "_text"]).drop("_text")
-    return kept.unionByName(df.where(F.col(id_col).isNull()))
+    kept = named.join(first, (named[id_col] == first["_id"]) & (named["_text"] == first["_h"]), "left_semi")
+    if rows.where(F.col("id").isNotNull()).groupBy("id", "h").count().where(F.col("count") > 1).take(1):
+        kept = kept.dropDuplicates([id_col, "_text"])
+    return kept.drop("_text").unionByName(df.where(F.col(id_col).isNull()))
 
 
 def one_of_each(df: DataFrame, radius: int | None = None, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -277,4 +279,4 @@ def one_of_each(df: DataFrame, radius: int | None = None, words: int = 5, simila
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fingerprints(b.column(2).to_pylist(), words).view(np.int64))], ["id", "h", "f"])
 
     docs = stored(rows.mapInArrow(run, T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("h", T.LongType()), T.StructField("f", T.LongType())])), "fingerprints")
-    return keep_one(df, docs.join(_members(docs, radius), "f").select("id", "h", "component"), id_col, text_col)
+    return keep_one(df, docs.join(_members(docs, radius), "f").select("id", "h", "component"), docs, id_col, text_col)
