@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import pandas as pd
@@ -25,67 +26,70 @@ def temporal_join(facts: DataFrame, versions: DataFrame, key: str, fact_time: st
 
 
 def temporal_join_stream(facts: DataFrame, versions: DataFrame, key: str, fact_time: str, version_time: str, lateness: str = "30 seconds") -> DataFrame:
-    """The same join over two streams. Facts wait until the watermark passes their time; a version is kept while a waiting or future fact may need it.
+    """The same join over two streams. Facts wait until the watermark passes their time; a version is kept while a waiting or future fact may need it. A stream
+    that has a watermark keeps it; the other gets one on its time, late by `lateness`.
 
     Columns must not share names but for the key; times are TIMESTAMP."""
-    fact_cols = [f for f in facts.schema.fields if f.name != key]
-    version_cols = [f for f in versions.schema.fields if f.name != key]
-    null = lambda fields: [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
-    left = facts.select(key, *(f.name for f in fact_cols), *null(version_cols), F.lit(0).alias("_side"), F.col(fact_time).alias("_at"))
-    right = versions.select(key, *null(fact_cols), *(f.name for f in version_cols), F.lit(1).alias("_side"), F.col(version_time).alias("_at"))
-    both = left.unionByName(right).withWatermark("_at", lateness)
-    out = T.StructType([facts.schema[key], *fact_cols, *(T.StructField(f.name, f.dataType) for f in version_cols)])
-    names = [key, *(f.name for f in fact_cols), *(f.name for f in version_cols)]
+    fact_cols = T.StructType([f for f in facts.schema.fields if f.name != key])
+    version_cols = T.StructType([f for f in versions.schema.fields if f.name != key])
+    # Values travel and wait as JSON text, which pandas can't change: it makes floats of numbers where some are missing.
+    options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    side = lambda df, cols, k, time: df.select(key, F.to_json(F.struct(*cols.names), options).alias("row__"), F.lit(k).alias("side__"), F.col(time).alias("at__"))
+    left, right = side(facts, fact_cols, 0, fact_time), side(versions, version_cols, 1, version_time)
+    has = lambda df: "EventTimeWatermark" in df._jdf.queryExecution().analyzed().toString()
+    both = (left if has(facts) else left.withWatermark("at__", lateness)).unionByName(right if has(versions) else right.withWatermark("at__", lateness))
+    names = [key, "fact__", "version__"]
+    out = T.StructType([facts.schema[key], *(T.StructField(x, T.StringType()) for x in names[1:])])
     from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-    fact_schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in fact_cols), T.StructField("_at", T.TimestampType())])
-    version_schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in version_cols), T.StructField("_at", T.TimestampType())])
+    waits = T.StructType([T.StructField("row", T.StringType()), T.StructField("at", T.LongType())])  # time in microseconds
 
     class Join(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.facts, self.versions = handle.getListState("facts", fact_schema), handle.getListState("versions", version_schema)
+            self.facts, self.versions = handle.getListState("facts", waits), handle.getListState("versions", waits)
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
+            """A fact without a time has no version; a version without one is never valid."""
             for pdf in rows:
-                for r in pdf.itertuples(index=False):
-                    d = r._asdict() if hasattr(r, "_asdict") else dict(zip(pdf.columns, r, strict=True))
-                    d = dict(zip(pdf.columns, r, strict=True))
-                    at = d["_at"].to_pydatetime()
-                    fields, state = (fact_cols, self.facts) if d["_side"] == 0 else (version_cols, self.versions)
-                    state.appendValue((*(_plain(d[f.name]) for f in fields), at))
-                    if d["_side"] == 0:
-                        self.handle.registerTimer(int(d["_at"].timestamp() * 1000))
-            yield pd.DataFrame({n: [] for n in names})
+                now, new = [], ([], [])
+                for k, row, at in zip(pdf["side__"].tolist(), pdf["row__"].tolist(), pdf["at__"], strict=True):
+                    if pd.isna(at):
+                        now += [(key[0], row, None)] if k == 0 else []
+                        continue
+                    micros = pd.Timestamp(at).value // 1000
+                    new[k].append((row, micros))
+                    if k == 0:
+                        self.handle.registerTimer(-(-micros // 1000))
+                for k, state in enumerate((self.facts, self.versions)):
+                    if new[k]:
+                        state.appendList(new[k])
+                if now:
+                    yield pd.DataFrame(now, columns=names, dtype=object)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
-            until = expiredTimerInfo.getExpiryTimeInMs()
-            waiting, versions = list(self.facts.get()), sorted(enumerate(self.versions.get()), key=lambda x: (x[1][-1], x[0]))
-            due = [f for f in waiting if _millis(f[-1]) <= until]
+            """The watermark has passed the time of a fact: all facts up to it are joined at once, so later timers find less to do."""
+            until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1) * 1000
+            waiting = list(self.facts.get())
+            due, rest = [f for f in waiting if f[1] <= until], [f for f in waiting if f[1] > until]
+            if not due:
+                return
+            versions = sorted(enumerate(self.versions.get()), key=lambda x: (x[1][1], x[0]))
+            times = [v[1] for _, v in versions]
             rows = []
-            for f in due:
-                fit = [v for _, v in versions if v[-1] <= f[-1]]
-                rows.append((key[0], *f[:-1], *(fit[-1][:-1] if fit else [None] * len(version_cols))))
-            rest = [f for f in waiting if _millis(f[-1]) > until]
+            for row, at in due:
+                k = bisect.bisect_right(times, at)
+                rows.append((key[0], row, versions[k - 1][1][0] if k else None))
             self.facts.put(rest) if rest else self.facts.clear()
             # The newest version up to here may still be asked for; older ones may not, once no waiting fact is older.
-            mark = min([until, timerValues.getCurrentWatermarkInMs(), *(_millis(f[-1]) for f in rest)])
-            old = [k for k, v in versions if _millis(v[-1]) <= mark][:-1]
-            if old:
-                self.versions.put([v for k, v in versions if k not in set(old)])
-            yield pd.DataFrame(rows, columns=names) if rows else pd.DataFrame({n: [] for n in names})
+            kept = bisect.bisect_right(times, min([until, *(at for _, at in rest)])) - 1
+            if kept > 0:
+                self.versions.put([v for _, v in versions[kept:]])
+            yield pd.DataFrame(rows, columns=names, dtype=object)
 
         def close(self) -> None:
             pass
 
-    return both.groupBy(key).transformWithStateInPandas(Join(), out, "Append", "EventTime")
-
-
-def _plain(x: object) -> object:
-    if x is None or x is pd.NaT or isinstance(x, float) and x != x:
-        return None
-    return x.to_pydatetime() if isinstance(x, pd.Timestamp) else x.item() if hasattr(x, "item") else x
-
-
-def _millis(t) -> int:  # noqa: ANN001
-    return int(pd.Timestamp(t).timestamp() * 1000)
+    made = both.groupBy(key).transformWithStateInPandas(Join(), out, "Append", "EventTime")
+    made = made.select(key, F.from_json("fact__", fact_cols, options).alias("f"), F.from_json("version__", version_cols, options).alias("v"))
+    return made.select(key, *(F.col(f"f.`{n}`") for n in fact_cols.names), *(F.col(f"v.`{n}`") for n in version_cols.names))

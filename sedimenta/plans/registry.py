@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from sedimenta.operators import changelog as C
 from sedimenta.operators.changes import changes, snapshot_rows
 from sedimenta.operators.temporal import temporal_join
+from sedimenta.sources.iceberg import IcebergTable, publish
 from sedimenta.sources.log import VersionedTable
 from sedimenta.sources.model import Snapshot
 from sedimenta.sources.places import shared_path
@@ -65,7 +66,7 @@ def rows_of(s: Snapshot) -> int:
     return s.added[0].rows
 
 
-def read(spark: SparkSession, t: VersionedTable, *metadata: str, **more: object) -> DataFrame:
+def read(spark: SparkSession, t: VersionedTable | IcebergTable, *metadata: str, **more: object) -> DataFrame:
     return changes(spark, t, metadata=metadata or ("_change_type", "_change_ordinal"), **more)
 
 
@@ -310,7 +311,7 @@ def temporal_join_tombstone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("event_id", F.when(~F.coalesce(gone, F.lit(False)), F.col("value")).alias("version_value"), F.coalesce(~gone, F.lit(False)).alias("matched"))
 
 
-def _streamed(spark: SparkSession, t: VersionedTable, times: int = 1, between: Callable[[], None] | None = None, **options: str) -> DataFrame:
+def _streamed(spark: SparkSession, t: VersionedTable | IcebergTable, times: int = 1, between: Callable[[], None] | None = None, **options: str) -> DataFrame:
     """The table's stream, run to its present end into Parquet, `times` times with the same checkpoint."""
     from sedimenta.streaming import source
 
@@ -350,6 +351,67 @@ def file_affinity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.groupBy("_file").agg(F.countDistinct("task").alias("tasks")).agg(F.count(F.lit(1)).alias("files"), F.count(F.when(F.col("tasks") > 1, 1)).alias("split_files"))
 
 
+@query(f"SELECT {_O}, CAST(row_number() OVER (ORDER BY chain, seq, pos) - 1 AS BIGINT) AS place FROM (SELECT {_O}, o_orderkey % 3 AS chain, 0 AS seq, o_orderkey // 3 AS pos FROM orders UNION ALL SELECT {_O}, 3, 0, o_orderkey // 3 FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey // 3 < 100)")
+def cdc_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of the rows in an ordered read: snapshot, then operation, then position. The number of a row is taken after the sort, partition by partition."""
+    t, s = appended(spark, sf_dir)
+    t.commit(deletes=[t.deletion_vector(s[0].added[0], range(0, 100))])
+    log = read(spark, t, mode="ordered").drop("_change_type", "_change_ordinal").withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    log = log.withColumns({"part": F.shiftright("row", 33), "within": F.col("row").bitwiseAND(F.lit(2**33 - 1))})
+    sizes = log.groupBy("part").count().select(F.col("part").alias("before"), F.col("count").alias("n"))  # a row for each task
+    ends = log.select("part").distinct().join(sizes, F.col("before") < F.col("part"), "left").groupBy("part").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("base"))
+    return log.join(ends, "part").select(*ORDERS, (F.col("base") + F.col("within")).alias("place"))
+
+
+def published(spark: SparkSession, t: VersionedTable) -> IcebergTable:
+    return publish(t, shared_path(spark, "warehouse") + "/db/t")
+
+
+@query(_UPSERTS + _deleted("o_orderkey % 10 <> 0 AND o_orderkey % 7 = 0", 2) + _deleted("o_orderkey % 10 <> 0 AND o_orderkey % 7 <> 0", 3) + " UNION ALL SELECT o_orderkey, o_custkey, o_totalprice + 1, 'INSERT', 3::INTEGER FROM orders WHERE o_orderkey % 6 = 0")
+def iceberg_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history in the Iceberg format: an append, an upsert by an equality delete, a deletion vector, and an overwrite of the first file."""
+    t = upserts(spark, sf_dir)
+    first = next(iter(t.load()["snapshots"].values())).added[0]
+    t.commit(deletes=[t.deletion_vector(first, range(0, first.rows, 7))])
+    t.commit(t.write_data(orders(spark, sf_dir).where("o_orderkey % 6 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_orderkey"]), removed=[first.path])
+    return read(spark, published(spark, t))
+
+
+@query(_CUST + " UNION ALL SELECT c_custkey, c_nationkey, c_mktsegment, 'DELETE' FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_nationkey < 10")
+def iceberg_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = table(spark, sf_dir, "customer").select(*CUSTOMERS)
+    t = fresh(spark, df.schema, ("c_mktsegment",))
+    t.append(df, ["c_custkey"])
+    t.commit(deletes=[t.equality_delete(pa.table({"c_nationkey": pa.array(range(10), pa.int32())}), partition=("MACHINERY",))])
+    return read(spark, published(spark, t), "_change_type")
+
+
+@query(f"SELECT {_O}, 'DELETE' AS _change_type, 0::INTEGER AS _change_ordinal FROM orders WHERE o_orderkey % 3 = 0 AND (o_orderkey // 3) % 5 = 0")
+def iceberg_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows are deleted from a file whose snapshot has expired: the oldest manifests still list it."""
+    t, s = appended(spark, sf_dir)
+    t.commit(deletes=[t.deletion_vector(s[0].added[0], range(0, rows_of(s[0]), 5))])
+    t.expire(s[2].id)
+    return read(spark, published(spark, t), start=s[2].id)
+
+
+@query(f"SELECT {_O}, _change_type FROM ({_UPSERTS})")
+def iceberg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, published(spark, upserts(spark, sf_dir)), catalog_impl="hadoop").select(*ORDERS, "_change_type")
+
+
+@query(f"SELECT {_O}, _change_type FROM ({_UPSERTS})")
+def sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog as a SQL object: CREATE TEMPORARY VIEW with declared columns and options."""
+    from sedimenta.streaming import source
+
+    source.register(spark)
+    t = upserts(spark, sf_dir)
+    name = "cdc_" + t.root.removesuffix("/db/t").rsplit("-", 1)[-1]
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} (o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, _change_type STRING) USING cdc OPTIONS ('catalog-impl' 'filesystem', 'warehouse' '{t.root.removesuffix('/db/t')}', 'table' 'db.t', 'bounded' 'true')")
+    return spark.sql(f"SELECT o_orderkey, o_custkey, o_totalprice, _change_type FROM {name}")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

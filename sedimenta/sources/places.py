@@ -9,12 +9,17 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset (tests on one machine) a temporary folder, which is then set as the session's."""
+    """spark.checkpoint.dir, or the folder that setCheckpointDir was given. Where both are unset, a temporary folder if all runs on this machine, as in
+    tests, which is then set as the session's; on a cluster it is an error, since executors would not share it."""
     conf = spark.sparkContext.getConf()
     if conf.get("spark.checkpoint.dir"):
         return conf.get("spark.checkpoint.dir").rstrip("/")
     own = spark.conf.get("spark.sedimenta.shared.dir", None)
+    if own is None and (given := spark.sparkContext.getCheckpointDir()) is not None:
+        return given.rstrip("/")
     if own is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         own = tempfile.mkdtemp(prefix="sedimenta-")
         spark.conf.set("spark.sedimenta.shared.dir", own)
         spark.sparkContext.setCheckpointDir(own)

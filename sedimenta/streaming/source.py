@@ -6,6 +6,7 @@ columns or filters from Spark: name the columns with `.schema(...)`. Where no st
 
 from __future__ import annotations
 
+import logging
 import time
 import zlib
 from collections import OrderedDict
@@ -26,13 +27,14 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from sedimenta.functions import schema as S
 from sedimenta.functions.options import ReadOptions
 from sedimenta.plans import planner
-from sedimenta.sources import vectors
-from sedimenta.sources.log import FIELD_ID, VersionedTable
+from sedimenta.sources import catalogs, vectors
+from sedimenta.sources.log import FIELD_ID
 from sedimenta.sources.model import CdcError, DeleteFile, Split
 
 #: Equality-delete sets that one reader keeps, least recently used out first.
 CACHED_SETS = 128
 BATCH_ROWS = 8192
+LOG = logging.getLogger("sedimenta.cdc")
 
 
 def offset_json(snapshot: int | None, initialized: bool = True) -> dict[str, Any]:
@@ -69,8 +71,8 @@ class CdcSource(DataSource):
         return CdcBatchReader(schema, ReadOptions.parse(dict(self.options)))
 
 
-def _table(o: ReadOptions) -> VersionedTable:
-    return VersionedTable(o.warehouse, o.table)
+def _table(o: ReadOptions) -> Any:
+    return catalogs.load(o)
 
 
 def dealt(splits: list[Split], o: ReadOptions) -> list[Part]:
@@ -108,31 +110,33 @@ class CdcStreamReader(DataSourceStreamReader):
         self.failures, self.looked = 0, 0.0
 
     def initialOffset(self) -> dict[str, Any]:  # noqa: N802
-        if self.o.start_snapshot is not None:
-            return offset_json(self.o.start_snapshot)
-        if self.o.startup == "latest":  # on an empty table there is nothing before what comes: all later snapshots are read
-            return offset_json(self.table.load()["current"])
-        return offset_json(None)
+        start = self.o.start_snapshot
+        if start is None and self.o.startup == "latest":  # on an empty table there is nothing before what comes: all later snapshots are read
+            start = self.table.load()["current"]
+        first = offset_json(start)
+        self.last = self.last or first  # Spark may ask again later
+        return first
 
     def latestOffset(self) -> dict[str, Any]:  # noqa: N802
-        """The newest snapshot to take. Drift and bad tables fail; a store that can't be read just now is tried again at the next trigger."""
+        """The newest snapshot to take, `max-snapshots-per-trigger` after the end of the last planned batch at most; asked twice, it says the same. Drift and bad tables
+        fail; a store that can't be read just now is logged and tried again at the next trigger. Spark asks for the first end before it tells where the query
+        starts, so the first batch after a start takes all there is, or up to `end-snapshot-id`."""
         try:
             meta = self.table.load()
-        except OSError:
+        except OSError as e:
             self.failures += 1
+            LOG.warning("table %s can't be read, %d times so far: %s", self.o.table, self.failures, e)
             if self.last is None or self.o.bounded:
                 raise
             return self.last
         until = self.o.end_snapshot or meta["current"]
         mark = offset_of(self.last)[0] if self.last else None
-        if mark is not None:
-            _, new = planner.changed_between(meta, mark)
-        else:
-            new = planner.chain_to(meta["snapshots"], until)
+        if mark is not None and self.o.end_snapshot is not None and until in [s.id for s in planner.chain_to(meta["snapshots"], mark)]:
+            until = mark  # the end was reached
+        _, new = planner.changed_between(meta, mark, until)
         if self.o.most_snapshots and self.last is not None and len(new) > self.o.most_snapshots:
             until = new[self.o.most_snapshots - 1].id
-        self.last = offset_json(until)
-        return self.last
+        return offset_json(until)
 
     def partitions(self, start: dict[str, Any], end: dict[str, Any]) -> list[InputPartition]:
         after, until = offset_of(start)[0], offset_of(end)[0]
@@ -141,13 +145,16 @@ class CdcStreamReader(DataSourceStreamReader):
         meta = self.table.load()
         if until not in {s.id for s in planner.chain_to(meta["snapshots"], meta["current"])}:
             raise planner.HistoryExpiredError(f"bookmark snapshot {until} is no longer in the table's snapshot history; start again from a fresh bookmark")
-        return dealt(planner.plan(meta, after, until, self.o.compat).splits, self.o)
+        self.last = end
+        made = planner.plan(meta, after, until, self.o.compat)
+        LOG.info("table %s: %s", self.o.table, made.metrics)
+        return dealt(made.splits, self.o)
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         yield from SplitReader(self.table, self.fields, self.columns, self.declared).read(partition.splits)
 
     def commit(self, end: dict[str, Any]) -> None:
-        self.last = end
+        """Comes for a batch when the next one is planned already, which tells more."""
 
     def stop(self) -> None:
         pass
@@ -156,7 +163,7 @@ class CdcStreamReader(DataSourceStreamReader):
 class SplitReader:
     """Rows of splits in Arrow batches, in their order. Deletes of a split are loaded before its rows; key sets are kept for the next split."""
 
-    def __init__(self, table: VersionedTable, fields: T.StructType, columns: list, declared: T.StructType):
+    def __init__(self, table: Any, fields: T.StructType, columns: list, declared: T.StructType):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         self.table, self.fields, self.columns = table, {f.name: f for f in fields.fields}, columns
@@ -249,17 +256,26 @@ def register(spark: SparkSession) -> None:
 
 
 def read_stream(spark: SparkSession, options: dict[str, str], schema: T.StructType | None = None) -> DataFrame:
-    """The stream with its watermark: on `watermark-column` (cast to TIMESTAMP if it has no zone) or on the commit time, late by `allowed-lateness`."""
+    """The stream with its watermark, late by `allowed-lateness`: on `watermark-column` (cast to TIMESTAMP if it has no zone), or on the commit time, whether or not
+    the declared schema has it. A watermark column that isn't there is an error."""
     o = ReadOptions.parse(options)
     register(spark)
-    reader = spark.readStream.format("cdc").options(**options)
+    reader, names = spark.readStream.format("cdc").options(**options), None
+    column = o.watermark_column
+    if column is None:
+        column = "_commit_timestamp"
+        if schema is not None:
+            found = next((f.name for f in schema.fields if f.metadata.get(S.ALIAS, f.name) == column), None)
+            if found is None:
+                names, schema = schema.names, T.StructType([*schema.fields, T.StructField(column, T.TimestampType())])
+            column = found or column
     df = (reader.schema(schema) if schema is not None else reader).load()
-    column = o.watermark_column or "_commit_timestamp"
     if column not in df.columns:
-        return df
+        raise ValueError(f"watermark-column: there is no column {column}")
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):
         df = df.withColumn(column, F.col(column).cast("timestamp"))
-    return df.withWatermark(column, f"{o.lateness_millis} milliseconds")
+    df = df.withWatermark(column, f"{o.lateness_millis} milliseconds")
+    return df if names is None else df.select(*names)
 
 
 def write_stream(df: DataFrame, options: dict[str, str]) -> Any:
