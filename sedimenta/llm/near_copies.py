@@ -82,7 +82,7 @@ def _dealt(df: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col:
     """wanted (s, id, h, f, keys: (key, role)) -> (key, role, s, f, own: the shingle set), one row for each key."""
     wanted, text = stored(wanted.withColumnRenamed("id", "_id"), "wanted"), text_or_empty(text_col)
     texts = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    names = wanted.select(F.col("h").alias("_h"), F.col("_id").alias("_name"))  # while these are few, the other texts stay where they are
+    names = stored(wanted.select(F.col("h").alias("_h"), F.col("_id").alias("_name")), "names")  # while these are few, the other texts stay where they are
     texts = texts.join(names, (texts["h"] == names["_h"]) & texts["id"].eqNullSafe(names["_name"]), "left_semi")
     found = texts.join(wanted, (texts["h"] == wanted["h"]) & texts["id"].eqNullSafe(wanted["_id"])).select("s", "f", "keys.key", "keys.role", "text")
 

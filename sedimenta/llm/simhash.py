@@ -257,6 +257,7 @@ def keep_one(df: DataFrame, members: DataFrame, rows: DataFrame, id_col: str, te
     """members (id, h: XXH64 of the text, component): one row of df for each component with ids, with its smallest id; rows with a null id stay. `rows` (id, h) is
     df in short: only where an id repeats with its text are such copies looked for. The texts are shuffled once at most."""
     first = members.where(F.col("id").isNotNull()).groupBy("component").agg(F.min(F.struct("id", "h")).alias("x")).select(F.col("x.id").alias("_id"), F.col("x.h").alias("_h"))
+    first = stored(first, "first")  # its size decides beforehand whether texts have to move
     named = df.where(F.col(id_col).isNotNull()).withColumn("_text", F.xxhash64(text_or_empty(text_col)))
     kept = named.join(first, (named[id_col] == first["_id"]) & (named["_text"] == first["_h"]), "left_semi")
     if rows.where(F.col("id").isNotNull()).groupBy("id", "h").count().where(F.col("count") > 1).take(1):
