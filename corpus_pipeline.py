@@ -5,6 +5,7 @@ Each stage is (spark, docs, sf_dir) -> DataFrame; its result is written as Parqu
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +40,22 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), ids=True)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("decontaminated", decontaminated), ("packed", packed)]
+#: Rows of a batch that goes to a Python worker. Texts are long: the usual 10,000 of them stand in memory several times over, on both sides.
+BATCH_ROWS = "2000"
+
+
+def _sized(stage: Stage) -> Stage:
+    """The stage under the pipeline's own setting for batches, which is read when its result is computed."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES: list[tuple[str, Stage]] = [("quality_rules", _sized(quality_rules)), ("near_duplicates", _sized(near_duplicates)), ("decontaminated", _sized(decontaminated)), ("packed", _sized(packed))]
 
 #: Stages that fit a forest, hash with XXH64 and merge tokens are beyond SQL; tests compare run() with brute force.
 ORACLE_SQL: str | None = None
