@@ -22,6 +22,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """df as a table in the shared folder, in buckets of this column: later joins on it find its rows where they are, and only the other side moves."""
+    spark = df.sparkSession
+    path, n = shared_path(spark, name), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.repartition(n, key).write.option("compression", "zstd").option("path", path).bucketBy(n, key).saveAsTable(table)
+    return spark.table(table)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """For small tables of loops: a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.llm.common import OUT_ROWS, stored, text_or_empty
+from sedimenta.llm.common import OUT_ROWS, bucketed, stored, text_or_empty
 from sedimenta.llm.components import components
-from sedimenta.llm.simhash import keep_one, near_pairs
+from sedimenta.llm.simhash import KEY, keep_one, near_pairs, same_id
 
 BANDS, ROWS = 18, 5
 _RANDOM = np.random.default_rng(42)
@@ -65,9 +65,8 @@ def print_of(own: np.ndarray) -> int:
 
 
 def _sketched(df: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, h: hash of the text, s: hash of the shingle set, f: its SimHash, n: its size, bands)."""
-    text = text_or_empty(text_col)
-    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    """(id, h: hash of id and text, s: hash of the shingle set, f: its SimHash, n: its size, bands)."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(KEY).alias("h"), text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -80,11 +79,9 @@ def _sketched(df: DataFrame, words: int, id_col: str, text_col: str) -> DataFram
 
 def _dealt(df: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
     """wanted (s, id, h, f, keys: (key, role)) -> (key, role, s, f, own: the shingle set), one row for each key."""
-    wanted, text = stored(wanted.withColumnRenamed("id", "_id"), "wanted"), text_or_empty(text_col)
-    texts = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    names = stored(wanted.select(F.col("h").alias("_h"), F.col("_id").alias("_name")), "names")  # while these are few, the other texts stay where they are
-    texts = texts.join(names, (texts["h"] == names["_h"]) & texts["id"].eqNullSafe(names["_name"]), "left_semi")
-    found = texts.join(wanted, (texts["h"] == wanted["h"]) & texts["id"].eqNullSafe(wanted["_id"])).select("s", "f", "keys.key", "keys.role", "text")
+    wanted = stored(wanted.withColumnRenamed("id", "_id"), "wanted")
+    texts = df.select(F.col(id_col).alias("id"), F.col(KEY).alias("_h"), text_or_empty(text_col).alias("text"))
+    found = texts.join(wanted, (F.col("_h") == F.col("h")) & same_id("id", "_id")).select("s", "f", "keys.key", "keys.role", "text")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -179,7 +176,8 @@ def one_of_each(df: DataFrame, least: float = 0.8, words: int = 5, id_col: str =
     columns kept; rows with a null id can't be named and stay, all of them. An id that repeats with different texts stays once for each component of
     which it is the smallest id; rows that repeat an id and its text are copies. Null, empty and blank texts are copies of each other. Ids have any type with an
     order. An empty table gives an empty result. `most`: shingles that a task holds at once."""
+    df, names = bucketed(df.withColumn(KEY, F.xxhash64(F.col(id_col), text_or_empty(text_col))), KEY, "by_text"), df.columns  # the texts move this once
     docs = stored(_sketched(df, words, id_col, text_col), "sketches")
     found = components(stored(_links(df, docs, least, words, id_col, text_col, most), "links"))
     members = docs.select("id", "h", "s").join(found.select(F.col("id").alias("s"), "component"), "s", "left")
-    return keep_one(df, members.select("id", "h", F.coalesce("component", "s").alias("component")), docs, id_col, text_col)
+    return keep_one(df, members.select("id", "h", F.coalesce("component", "s").alias("component")), docs, id_col).select(*(F.col(f"`{c}`") for c in names))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.llm.common import OUT_ROWS, stored, text_or_empty
+from sedimenta.llm.common import OUT_ROWS, bucketed, stored, text_or_empty
 from sedimenta.llm.components import components
 
 BITS = 64
@@ -253,16 +253,24 @@ def _members(docs: DataFrame, radius: int, blocks: int = 4, most: int = 4_000) -
     return members.select("f", "component").join(least, "component")
 
 
-def keep_one(df: DataFrame, members: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """members (id, h: XXH64 of the text, component): one row of df for each component with ids, with its smallest id; rows with a null id stay. `rows` (id, h) is
-    df in short: only where an id repeats with its text are such copies looked for. The texts are shuffled once at most."""
+#: Column that names a row by its id and text.
+KEY = "near_key__"
+
+
+def same_id(a: str, b: str) -> Column:
+    """Null is the same as null. In a form that Spark doesn't take for another key of a join."""
+    return F.when(F.col(a).isNull() | F.col(b).isNull(), F.col(a).isNull() & F.col(b).isNull()).otherwise(F.col(a) == F.col(b))
+
+
+def keep_one(df: DataFrame, members: DataFrame, rows: DataFrame, id_col: str) -> DataFrame:
+    """members (id, h: hash of id and text, component): one row of df, which has h as KEY, for each component with ids, with its smallest id; rows with a null id
+    stay. `rows` (id, h) is df in short: only where an id repeats with its text are such copies looked for."""
     first = members.where(F.col("id").isNotNull()).groupBy("component").agg(F.min(F.struct("id", "h")).alias("x")).select(F.col("x.id").alias("_id"), F.col("x.h").alias("_h"))
-    first = stored(first, "first")  # its size decides beforehand whether texts have to move
-    named = df.where(F.col(id_col).isNotNull()).withColumn("_text", F.xxhash64(text_or_empty(text_col)))
-    kept = named.join(first, (named[id_col] == first["_id"]) & (named["_text"] == first["_h"]), "left_semi")
+    named = df.where(F.col(id_col).isNotNull())
+    kept = named.join(first, (F.col(KEY) == F.col("_h")) & same_id(id_col, "_id"), "left_semi")
     if rows.where(F.col("id").isNotNull()).groupBy("id", "h").count().where(F.col("count") > 1).take(1):
-        kept = kept.dropDuplicates([id_col, "_text"])
-    return kept.drop("_text").unionByName(df.where(F.col(id_col).isNull()))
+        kept = kept.dropDuplicates([id_col, KEY])
+    return kept.unionByName(df.where(F.col(id_col).isNull()))
 
 
 def one_of_each(df: DataFrame, radius: int | None = None, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -272,12 +280,12 @@ def one_of_each(df: DataFrame, radius: int | None = None, words: int = 5, simila
         from sedimenta.llm import near_copies
 
         return near_copies.one_of_each(df, similarity, words, id_col, text_col)
-    text = text_or_empty(text_col)
-    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    df, names = bucketed(df.withColumn(KEY, F.xxhash64(F.col(id_col), text_or_empty(text_col))), KEY, "by_text"), df.columns
+    rows = df.select(F.col(id_col).alias("id"), F.col(KEY).alias("h"), text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fingerprints(b.column(2).to_pylist(), words).view(np.int64))], ["id", "h", "f"])
 
     docs = stored(rows.mapInArrow(run, T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("h", T.LongType()), T.StructField("f", T.LongType())])), "fingerprints")
-    return keep_one(df, docs.join(_members(docs, radius), "f").select("id", "h", "component"), docs, id_col, text_col)
+    return keep_one(df, docs.join(_members(docs, radius), "f").select("id", "h", "component"), docs, id_col).select(*(F.col(f"`{c}`") for c in names))
