@@ -62,7 +62,7 @@ class Codec:
         self.specials = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
         self.kind = self._kind()
         self.letter = {"<u4": "I", "<u2": "H"}[dtype]
-        self.whole = whole_tokens(self.library, self.spec, self.kind)
+        self.whole = {piece: array(self.letter, (i,)).tobytes() for piece, i in whole_tokens(self.library, self.spec, self.kind).items()}
         self.merge = merges(self.library, self.spec, self.kind)
         self.pattern, self.ascii = PATTERNS[self.kind]
         self.young: dict = Memory(self)
@@ -97,18 +97,13 @@ class Codec:
 
     def word(self, piece: str) -> bytes:
         """A pre-token."""
-        i = self.whole.get(piece)
-        return array(self.letter, self.merge(piece) if i is None else (i,)).tobytes()
+        return self.whole.get(piece) or array(self.letter, self.merge(piece)).tobytes()
 
     def chunk(self, chunk: str) -> bytes:
         if not chunk.isascii() and BEYOND.search(chunk) and (self.kind == "word" or not self._agreed(chunk)):
             # Not encode(): a text that is in normal form already would be normalized again, and lower case may compose further.
             return array(self.letter, [t.id for p, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk) for t in self.model.tokenize(p)]).tobytes()
-        out: list[int] = []
-        for p in (self.ascii if chunk.isascii() else self.pattern).findall(chunk):
-            i = self.whole.get(p)
-            out += self.merge(p) if i is None else (i,)
-        return array(self.letter, out).tobytes()
+        return b"".join([self.whole.get(p) or array(self.letter, self.merge(p)).tobytes() for p in (self.ascii if chunk.isascii() else self.pattern).findall(chunk)])
 
     def ids(self, text: str) -> bytes:
         if self.kind == "other":
@@ -150,7 +145,8 @@ class Memory(dict):
             end = self.ends.get(chunk[-1:], b"")
             word = chunk[:-1] if end else chunk
             if word.isalpha() and (word.isascii() or not BEYOND.search(word)):
-                found = (end and (self.get(word) or self.old.get(word)) or self.codec.word(self.space + word)) + end
+                found = end and (self.get(word) or self.old.get(word)) or self.codec.word(self.space + word)
+                found += end
             else:
                 found = self.codec.chunk(self.space + chunk)
             if len(chunk) > LONG_CHUNK:
